@@ -26,6 +26,7 @@ SCALE = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
 TILE_SCORES = 4_000_000
+LISTED_CELLS = 1000
 FOUND = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("points", pa.int64())])
 FOUND_DDL = "query_id long, id long, points long"
 
@@ -90,11 +91,12 @@ def _scan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Corpus tasks score the queries, which the caller has checked to be few."""
     table = queries.select("query_id", "vector", "cell").toArrow()
     cells = table["cell"].to_numpy()
+    distinct = np.unique(cells)
     shared = queries.sparkSession.sparkContext.broadcast(
         (
             table["query_id"].to_numpy(),
             matrix(table["vector"]),
-            {c: np.flatnonzero(cells == c) for c in np.unique(cells)},
+            {c: np.flatnonzero(cells == c) for c in distinct},
         )
     )
 
@@ -102,7 +104,7 @@ def _scan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         query_ids, vectors, members = shared.value
         best = Best(len(query_ids), k)
         for batch in batches:
-            cells = batch["cell"].to_numpy()
+            cells = batch["cell"].to_numpy(zero_copy_only=False)
             ids, rows = batch["id"].to_numpy(), matrix(batch["vector"])
             for cell in np.unique(cells):
                 if cell in members:
@@ -111,9 +113,9 @@ def _scan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(best.found(query_ids), schema=FOUND)
 
     wanted = corpus
-    if len(np.unique(cells)) <= 1000:
+    if len(distinct) <= LISTED_CELLS:
         # Reaches the scan, and prunes files when the table is laid out by cell.
-        wanted = corpus.where(F.col("cell").isin([int(c) for c in np.unique(cells)]))
+        wanted = corpus.where(F.col("cell").isin(distinct.tolist()))
     return wanted.select("id", "vector", "cell").mapInArrow(score, FOUND_DDL)
 
 
@@ -214,8 +216,9 @@ def knn_within(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """As ``knn``, but a query sees only rows that share its ``group``."""
-    cell = F.xxhash64(group).alias("cell")
-    asked = stage(queries.select("query_id", F.col("embedding").alias("vector"), cell), "query")
+    cell = F.col(group).alias("cell")
+    named = queries.where(cell.isNotNull())
+    asked = stage(named.select("query_id", F.col("embedding").alias("vector"), cell), "query")
     vectors = spread(corpus.select("id", F.col("embedding").alias("vector"), cell))
     return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
 
