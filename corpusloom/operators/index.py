@@ -16,11 +16,12 @@ from corpusloom.functions.vectors import unit
 from corpusloom.operators.search import (
     BROADCAST_BYTES,
     SCALE,
+    TILE_SCORES,
     best_k,
     candidates,
     matrix,
 )
-from corpusloom.session import new_path, spread, stage
+from corpusloom.session import new_path, stage
 
 MAX_CENTROID_BYTES = 128 * 1024 * 1024
 ROWS_PER_FILE = 500_000
@@ -54,6 +55,13 @@ def _distances(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
+def _tiles(rows: int, cells: int) -> Iterator[slice]:
+    """Row ranges whose distances to all centroids fit one bounded matrix."""
+    step = max(1, TILE_SCORES // max(1, cells))
+    for at in range(0, rows, step):
+        yield slice(at, at + step)
+
+
 def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     """``(id, vector)`` with the nearest centroid and the distance to it."""
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
@@ -70,9 +78,12 @@ def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            away = _distances(matrix(batch["vector"]), shared.value)
-            cell = away.argmin(axis=1)
-            columns = [batch["id"], batch["vector"], pa.array(cell), pa.array(away.min(axis=1))]
+            rows, near = matrix(batch["vector"]), []
+            for tile in _tiles(len(rows), len(shared.value)):
+                away = _distances(rows[tile], shared.value)
+                near.append((away.argmin(axis=1), away.min(axis=1)))
+            cell, distance = (np.concatenate(part) for part in zip(*near))
+            columns = [batch["id"], batch["vector"], pa.array(cell), pa.array(distance)]
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema
             )
@@ -125,7 +136,7 @@ def build_index(
     """
     if cells * dim * 8 > MAX_CENTROID_BYTES:
         raise ValueError("too many cells for this dimension")
-    vectors = spread(corpus.select("id", F.col("embedding").alias("vector")))
+    vectors = corpus.select("id", F.col("embedding").alias("vector"))
     check_vectors(vectors, dim)
     training = (corpus if train_on is None else train_on).select(
         array_to_vector(unit(F.col("embedding"))).alias("features")
@@ -135,7 +146,7 @@ def build_index(
     return VectorIndex(_store(assign_cells(vectors, centroids)), centroids)
 
 
-def _probes(queries: DataFrame, choose, extra: str | None = None) -> DataFrame:
+def _probes(queries: DataFrame, cells: int, choose, extra: str | None = None) -> DataFrame:
     """``(query_id, vector, cell)`` with the cells that ``choose`` picks per query.
 
     ``choose(vectors, extra column)`` gives a boolean matrix, query by cell.
@@ -149,12 +160,15 @@ def _probes(queries: DataFrame, choose, extra: str | None = None) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             more = batch[extra].to_numpy(zero_copy_only=False) if extra else None
-            row, cell = np.nonzero(choose(matrix(batch["vector"]), more))
-            columns = [batch["query_id"].take(pa.array(row)), batch["vector"].take(pa.array(row))]
-            yield pa.RecordBatch.from_arrays(
-                [c.cast(f.type) for c, f in zip([*columns, pa.array(cell)], schema)],
-                schema=schema,
-            )
+            rows = matrix(batch["vector"])
+            for tile in _tiles(len(rows), cells):
+                row, cell = np.nonzero(choose(rows[tile], None if more is None else more[tile]))
+                which = pa.array(row + tile.start)
+                columns = [batch["query_id"].take(which), batch["vector"].take(which)]
+                yield pa.RecordBatch.from_arrays(
+                    [c.cast(f.type) for c, f in zip([*columns, pa.array(cell)], schema)],
+                    schema=schema,
+                )
 
     return queries.mapInArrow(probe, "query_id long, vector array<float>, cell long")
 
@@ -178,7 +192,7 @@ def knn_probed(
         return picked
 
     asked = queries.select("query_id", F.col("embedding").alias("vector"))
-    probes = stage(_probes(asked, nearest), "probes")
+    probes = stage(_probes(asked, len(index.centroids), nearest), "probes")
     return best_k(candidates(probes, index.rows, k, broadcast_bytes), k)
 
 
@@ -211,11 +225,9 @@ def knn_pruned(
         open_cells = (bound >= reached[:, None]) & (radii >= 0)[None, :]
         return open_cells & ~home(vectors)
 
-    asked = stage(
-        spread(queries.select("query_id", F.col("embedding").alias("vector"))), "query"
-    )
+    asked = stage(queries.select("query_id", F.col("embedding").alias("vector")), "query")
     first = stage(
-        candidates(stage(_probes(asked, home), "probes"), index.rows, k, broadcast_bytes),
+        candidates(stage(_probes(asked, len(index.centroids), home), "probes"), index.rows, k, broadcast_bytes),
         "found",
     )
     kth = (
@@ -230,7 +242,7 @@ def knn_pruned(
     known = asked.join(kth, "query_id", "left").withColumn(
         "reached", F.coalesce("reached", F.lit(-2.0 * SCALE))
     )
-    more = stage(_probes(known, rest, "reached"), "probes")
+    more = stage(_probes(known, len(index.centroids), rest, "reached"), "probes")
     second = candidates(more, index.rows, k, broadcast_bytes)
     return best_k(first.unionByName(second), k)
 

@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets by the first hex digits of the key's MD5.
+# Buckets by the first hex digits of the key's MD5, and rows they should hold.
 HEX_DIGITS = 3
+MAX_HEX_DIGITS = 5
+BUCKET_ROWS = 250_000
+
+
+def digits_for(rows: int) -> int:
+    """Hex digits that keep the buckets of a table of this size small."""
+    digits = HEX_DIGITS
+    while digits < MAX_HEX_DIGITS and rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
 
 
 def assign_ids(

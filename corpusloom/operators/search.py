@@ -20,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import spread, stage
+from corpusloom.session import stage
 
 SCALE = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 4096
+BLOCK_BYTES = 64 * 1024 * 1024
 TILE_SCORES = 4_000_000
 LISTED_CELLS = 1000
+FOUND_BYTES = 64
 FOUND = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("points", pa.int64())])
 FOUND_DDL = "query_id long, id long, points long"
 
@@ -119,11 +120,15 @@ def _scan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     return wanted.select("id", "vector", "cell").mapInArrow(score, FOUND_DDL)
 
 
-def _blocks(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Both sides in blocks of bounded size; every pair of blocks is one group."""
+def _blocks(queries: DataFrame, corpus: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Both sides in blocks of bounded size; every pair of blocks is one group.
+
+    A row is copied once per block of the other side in its cell, so the blocks
+    are as large as a task can hold.
+    """
 
     def parts(df: DataFrame, name: str) -> DataFrame:
-        blocks = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
+        blocks = F.ceil(F.count("*") / block_rows).cast("int")
         return df.groupBy("cell").agg(blocks.alias(name))
 
     sizes = parts(queries, "query_parts").join(parts(corpus, "corpus_parts"), "cell")
@@ -162,7 +167,11 @@ def _blocks(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
 
 
 def candidates(
-    queries: DataFrame, corpus: DataFrame, k: int, broadcast_bytes: int = BROADCAST_BYTES
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """At least the k best rows of every query, as ``(query_id, id, points)``.
 
@@ -173,9 +182,10 @@ def candidates(
     size = queries.agg(
         F.count("*").alias("rows"), F.max(F.size("vector")).alias("dim")
     ).first()
-    if size["rows"] * (size["dim"] or 0) * 8 <= broadcast_bytes:
+    vector_bytes = (size["dim"] or 1) * 8
+    if size["rows"] * vector_bytes <= broadcast_bytes:
         return _scan(queries, corpus, k)
-    return _blocks(queries, corpus, k)
+    return _blocks(queries, corpus, k, max(1, block_bytes // vector_bytes))
 
 
 def best_k(found: DataFrame, k: int) -> DataFrame:
@@ -204,7 +214,7 @@ def knn(
         corpus = corpus.where(where)
     one_cell = F.lit(0).cast("long").alias("cell")
     asked = stage(queries.select("query_id", F.col("embedding").alias("vector"), one_cell), "query")
-    vectors = spread(corpus.select("id", F.col("embedding").alias("vector"), one_cell))
+    vectors = corpus.select("id", F.col("embedding").alias("vector"), one_cell)
     return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
 
 
@@ -219,15 +229,20 @@ def knn_within(
     cell = F.col(group).alias("cell")
     named = queries.where(cell.isNotNull())
     asked = stage(named.select("query_id", F.col("embedding").alias("vector"), cell), "query")
-    vectors = spread(corpus.select("id", F.col("embedding").alias("vector"), cell))
+    vectors = corpus.select("id", F.col("embedding").alias("vector"), cell)
     return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
 
 
 def with_payload(found: DataFrame, corpus: DataFrame, *columns: str) -> DataFrame:
     """Add payload columns to search results by id.
 
-    Vectors and payload stay apart until only k rows per query are left.
+    Vectors and payload stay apart until only k rows per query are left. The
+    results are stored and counted: if they are few enough to travel, the
+    payload is not shuffled.
     """
-    return found.join(corpus.select("id", *columns), "id").select(
+    few = stage(found, "found")
+    if few.count() * FOUND_BYTES <= BROADCAST_BYTES:
+        few = F.broadcast(few)
+    return corpus.select("id", *columns).join(few, "id").select(
         "query_id", "rank", "id", *columns, "score"
     )

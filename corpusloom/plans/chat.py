@@ -19,7 +19,7 @@ from corpusloom.functions.text import token_count
 from corpusloom.functions.vectors import BatchEmbedder
 from corpusloom.operators.embedding import embed
 from corpusloom.operators.search import knn, with_payload
-from corpusloom.session import spread
+from corpusloom.session import stage
 
 # Longest history that is folded into one string, far beyond any model window.
 FOLD_CHARS = 1_000_000
@@ -154,10 +154,21 @@ def retrieve(
     """The k best passages ``(query_id, rank, id, url, content, score)`` per query text.
 
     ``queries`` is ``(query_id, text)``, ``corpus`` ``(id, url, content, embedding)``.
+    Equal texts are embedded and searched once, however many queries share one.
     """
-    asked = embed(spread(queries.select("query_id", "text")), "text", embedder, dim)
-    found = knn(asked, corpus, k, where)
-    return with_payload(found, corpus, "url", "content")
+    asked = stage(queries.select("query_id", "text", F.md5("text").alias("digest")), "asked")
+    distinct = asked.groupBy("digest").agg(
+        F.min("query_id").alias("first_id"), F.min("text").alias("text")
+    )
+    distinct = stage(distinct, "distinct")
+    embedded = embed(
+        distinct.select(F.col("first_id").alias("query_id"), "text"), "text", embedder, dim
+    )
+    found = knn(embedded, corpus, k, where).withColumnRenamed("query_id", "first_id")
+    same = asked.select("query_id", "digest").join(
+        distinct.select("digest", "first_id"), "digest"
+    )
+    return with_payload(same.join(found, "first_id").drop("first_id", "digest"), corpus, "url", "content")
 
 
 def format_context(hits: DataFrame, template: str = prompts.PASSAGE_TEMPLATE) -> DataFrame:
@@ -183,22 +194,27 @@ def assemble_prompts(
     filled = heads.join(contexts, "conv_id", "left").withColumn(
         "context", F.coalesce("context", F.lit(""))
     )
-    system = filled.select(
+    framing = filled.select(
         "conv_id",
-        F.lit(0).cast("long").alias("seq"),
-        F.lit("system").alias("role"),
-        prompts.system_message(F.col("context"), F.col("question")).alias("content"),
+        F.inline(
+            F.array(
+                F.struct(
+                    F.lit(0).cast("long").alias("seq"),
+                    F.lit("system").alias("role"),
+                    prompts.system_message(F.col("context"), F.col("question")).alias("content"),
+                ),
+                F.struct(
+                    (F.col("last_turn") + 1).alias("seq"),
+                    F.lit("user").alias("role"),
+                    F.col("question").alias("content"),
+                ),
+            )
+        ),
     )
     history = spoken(chat_history(messages, heads)).select(
         "conv_id", (F.col("turn") + 1).alias("seq"), "role", F.col("text").alias("content")
     )
-    user = heads.select(
-        "conv_id",
-        (F.col("last_turn") + 1).alias("seq"),
-        F.lit("user").alias("role"),
-        F.col("question").alias("content"),
-    )
-    return system.unionByName(history).unionByName(user)
+    return framing.unionByName(history)
 
 
 def prompt_budget(

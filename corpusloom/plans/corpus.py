@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import BatchEmbedder
 from corpusloom.operators.chunking import chunk_sentences
 from corpusloom.operators.embedding import embed
-from corpusloom.operators.keys import assign_ids
+from corpusloom.operators.keys import assign_ids, digits_for, new_rows
 from corpusloom.operators.models import Parser, extract_text, parsed, quarantined
 from corpusloom.session import arrow_batch, spread, stage
 from corpusloom.sources.files import binary_files, table_stream
@@ -22,6 +23,8 @@ CHUNK_TOKENS = 500
 CHUNK_OVERLAP = 10
 FILES_PER_BATCH = 10
 
+KEY = ["url", "chunk_idx"]
+
 
 def embedded_chunks(
     documents: DataFrame,
@@ -32,7 +35,8 @@ def embedded_chunks(
 ) -> DataFrame:
     """Stored table ``(id, url, chunk_idx, content, embedding)`` of ``(url, text)``."""
     chunks = chunk_sentences(spread(documents.select("url", "text")), "text", max_tokens, overlap)
-    numbered = assign_ids(stage(chunks, "chunks"), ["url", "chunk_idx"])
+    stored = stage(chunks, "chunks")
+    numbered = assign_ids(stored, KEY, hex_digits=digits_for(stored.count()))
     embedded = embed(numbered, "content", embedder, dim)
     return stage(
         embedded.select("id", "url", "chunk_idx", "content", "n_tokens", "embedding"), "corpus"
@@ -88,7 +92,24 @@ class CorpusJob:
     def failed(self) -> DataFrame:
         return quarantined(self.read("extracted"))
 
+    def publish(self) -> None:
+        """Give new chunks the next ids; chunks published before keep theirs."""
+        rows, existing = self.read("embedded"), None
+        if self.published:
+            existing = self.read("published")
+            rows = new_rows(rows, existing, KEY)
+        rows = stage(rows, "unpublished")
+        numbered = assign_ids(rows, KEY, existing, digits_for(rows.count()))
+        stage(numbered, "numbered").write.mode("append").parquet(self._path("published"))
+
+    @property
+    def published(self) -> bool:
+        try:
+            return bool(self.read("published").columns)
+        except AnalysisException:
+            return False
+
     def run(self) -> DataFrame:
-        for step in (self.ingest, self.parse, self.chunk, self.embed):
+        for step in (self.ingest, self.parse, self.chunk, self.embed, self.publish):
             step()
-        return self.read("embedded")
+        return self.read("published")

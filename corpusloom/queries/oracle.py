@@ -472,12 +472,12 @@ ORACLE = {
     )
     + "SELECT type, metric, n.value AS current_value, t.value AS previous_value, round(n.value - t.value, 6) AS delta, "
     "coalesce(round(n.value - t.value, 6) < 0, FALSE) AS regressed FROM now_ n FULL JOIN then_ t USING (type, metric)",
-    "ingest_files": "SELECT page_id, octet_length(encode(html)) + 1 AS length, md5(html || chr(10)) AS digest FROM pages",
+    "ingest_files": "SELECT octet_length(encode(html)) + 1 AS length, md5(html || chr(10)) AS digest FROM pages",
     "corpus_to_index": with_clause(
         ("source", f"SELECT page_id, {LINES.format('html')} AS text FROM pages"),
         *chunk_parts("source", "page_id"),
         *hash_parts("chunks", "page_id, chunk_idx", "content", "embedded"),
     )
-    + f"SELECT page_id, chunk_idx, n_tokens, {micro('v')} AS embedding FROM chunks JOIN embedded USING (page_id, chunk_idx)",
+    + f"SELECT chunk_idx, n_tokens, md5(content) AS digest, {micro('v')} AS embedding FROM chunks JOIN embedded USING (page_id, chunk_idx)",
 }
 ORACLE["embed_stream"] = ORACLE["embed_batch"]

@@ -496,26 +496,20 @@ def eval_compare(spark, folder):
 
 
 def _land(spark, folder):
-    """The web pages as single files below a fresh folder of the shared work area."""
+    """The web pages, one file each, in a fresh folder of the shared work area."""
     landing = new_path(spark, "landing")
-    pages = table(spark, folder, "pages").select("page_id", "html")
-    spread(pages).write.partitionBy("page_id").text(landing)
+    pages = spread(table(spark, folder, "pages").select("html"))
+    pages.write.option("maxRecordsPerFile", 1).text(landing)
     return landing
 
 
-def _page_number(path: str) -> Column:
-    return F.regexp_extract(path, "page_id=([0-9]+)", 1).cast("long").alias("page_id")
-
-
 def ingest_files(spark, folder):
     landing, raw = _land(spark, folder), new_path(spark, "raw")
     progress = new_path(spark, "progress")
     # The second run finds nothing new and adds nothing.
     for _ in range(2):
         drain(binary_files(spark, landing, "*.txt"), progress, path=raw)
-    return spark.read.parquet(raw).select(
-        _page_number("path"), "length", F.md5("content").alias("digest")
-    )
+    return spark.read.parquet(raw).select("length", F.md5("content").alias("digest"))
 
 
 def embed_stream(spark, folder):
@@ -552,11 +546,10 @@ def corpus_to_index(spark, folder):
         DIM,
         glob="*.txt",
     )
-    embedded = keys.assign_ids(job.run(), ["url", "chunk_idx"])
-    rows = stage(embedded, "embedded")
+    rows = job.run()
     indexed = index.build_index(rows, DIM, cells=16).rows
     return rows.join(indexed.select("id", "vector"), "id").select(
-        _page_number("url"), "chunk_idx", "n_tokens", micro("vector").alias("embedding")
+        "chunk_idx", "n_tokens", F.md5("content").alias("digest"), micro("vector").alias("embedding")
     )
 
 

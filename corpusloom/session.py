@@ -61,14 +61,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition only when the scan has fewer splits than there are cores.
+    """Repartition a table scan that has no more splits than there are cores.
 
-    Large tables arrive in many splits and pass through without a shuffle.
+    Spark cuts a table smaller than one full split per core into as many parts
+    as there are cores, whether or not its row groups can fill them. A larger
+    table has more splits than that and passes through without a shuffle. Meant
+    for scans: counting the splits of an adaptive plan would run its shuffles.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    # Parquet files with one row group report several splits but fill only one,
-    # hence the factor.
-    if df.rdd.getNumPartitions() < 4 * cores:
+    if df.rdd.getNumPartitions() <= cores:
         return df.repartition(cores, *keys)
     return df
 

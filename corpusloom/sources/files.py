@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def binary_files(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFrame:
-    """Stream of files in a folder and below, new ones only on each run."""
+def binary_files(
+    spark: SparkSession, folder: str, glob: str = "*.pdf", files_per_batch: int = 100_000
+) -> DataFrame:
+    """Stream of files in a folder and below, new ones only on each run.
+
+    A large backlog is taken in several batches, so a failed run repeats one.
+    """
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
     )
 
