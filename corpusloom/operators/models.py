@@ -22,6 +22,8 @@ def extract_text(
 
     ``make_parser`` runs once per task. A file that fails to parse keeps its row
     with NULL text and the error; ``parsed`` and ``quarantined`` tell them apart.
+    The parser counts as nondeterministic, so that a filter on its result is not
+    pushed below it, which would parse every file twice.
     """
 
     @F.pandas_udf("pages array<string>, error string")
@@ -38,7 +40,8 @@ def extract_text(
             yield pd.DataFrame([one(c) for c in contents], columns=["pages", "error"])
 
     keep = [c for c in df.columns if c != content_col]
-    return df.select(*keep, parse(F.col(content_col)).alias("parsed")).select(
+    once = parse.asNondeterministic()
+    return df.select(*keep, once(F.col(content_col)).alias("parsed")).select(
         *keep, join_pages(F.col("parsed.pages")).alias("text"), F.col("parsed.error").alias("error")
     )
 
@@ -86,4 +89,5 @@ def generate(
                 raise ValueError(f"{len(replies)} replies for {len(requests)} requests")
             yield pd.Series(replies, dtype=object)
 
-    return df.withColumn(out, answer(request))
+    # Sampled text differs from run to run, and a filter on it must not run the model twice.
+    return df.withColumn(out, answer.asNondeterministic()(request))
