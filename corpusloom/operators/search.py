@@ -204,16 +204,19 @@ def knn(
     k: int = 3,
     where: Column | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """The k most similar rows of ``corpus (id, embedding)`` per query.
 
-    ``queries`` is ``(query_id, embedding)``; ``where`` limits the corpus before
-    anything is scored.
+    ``queries`` is ``(query_id, embedding)`` and gets stored first, unless it is
+    ``stored`` already; ``where`` limits the corpus before anything is scored.
     """
     if where is not None:
         corpus = corpus.where(where)
     one_cell = F.lit(0).cast("long").alias("cell")
-    asked = stage(queries.select("query_id", F.col("embedding").alias("vector"), one_cell), "query")
+    asked = queries.select("query_id", F.col("embedding").alias("vector"), one_cell)
+    if not stored:
+        asked = stage(asked, "query")
     vectors = corpus.select("id", F.col("embedding").alias("vector"), one_cell)
     return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
 

@@ -160,11 +160,9 @@ def retrieve(
     distinct = asked.groupBy("digest").agg(
         F.min("query_id").alias("first_id"), F.min("text").alias("text")
     )
-    distinct = stage(distinct, "distinct")
-    embedded = embed(
-        distinct.select(F.col("first_id").alias("query_id"), "text"), "text", embedder, dim
-    )
-    found = knn(embedded, corpus, k, where).withColumnRenamed("query_id", "first_id")
+    distinct = stage(embed(distinct, "text", embedder, dim).drop("text"), "distinct")
+    vectors = distinct.select(F.col("first_id").alias("query_id"), "embedding")
+    found = knn(vectors, corpus, k, where, stored=True).withColumnRenamed("query_id", "first_id")
     same = asked.select("query_id", "digest").join(
         distinct.select("digest", "first_id"), "digest"
     )

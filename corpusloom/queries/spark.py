@@ -23,9 +23,16 @@ from corpusloom.streaming.drain import drain
 DIM = 64
 EMBEDDER = HashEmbedder(DIM)
 
-# The embedded corpus of an application, stored once and read by many queries,
-# as its users do.
-_corpora: dict[tuple[str, str], DataFrame] = {}
+# What users of an application store once and read many times: the embedded
+# corpus, the vector index, the landed files.
+_stored: dict[tuple[str, str, str], object] = {}
+
+
+def stored_once(spark: SparkSession, folder: str, name: str, build):
+    key = spark.sparkContext.applicationId, folder, name
+    if key not in _stored:
+        _stored[key] = build()
+    return _stored[key]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,11 +44,8 @@ def document_url(doc_id: str = "doc_id") -> Column:
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
-    key = spark.sparkContext.applicationId, folder
-    if key not in _corpora:
-        texts = documents(spark, folder).select(document_url().alias("url"), "text")
-        _corpora[key] = embedded_chunks(texts, EMBEDDER, DIM)
-    return _corpora[key]
+    texts = documents(spark, folder).select(document_url().alias("url"), "text")
+    return stored_once(spark, folder, "corpus", lambda: embedded_chunks(texts, EMBEDDER, DIM))
 
 
 def micro(vector: str) -> Column:
@@ -54,12 +58,13 @@ def micro(vector: str) -> Column:
 
 
 def clean_text(spark, folder):
-    return documents(spark, folder).select("doc_id", clean(F.col("text")).alias("text"))
+    texts = spread(documents(spark, folder).select("doc_id", "text"))
+    return texts.select("doc_id", clean(F.col("text")).alias("text"))
 
 
 def join_pages(spark, folder):
-    pages = F.split("text", "\n")
-    return documents(spark, folder).select("doc_id", joined_pages(pages).alias("text"))
+    texts = spread(documents(spark, folder).select("doc_id", "text"))
+    return texts.select("doc_id", joined_pages(F.split("text", "\n")).alias("text"))
 
 
 def chunk_sentences(spark, folder):
@@ -73,7 +78,7 @@ def chunk_windows(spark, folder):
 
 
 def extract_article(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"))
     return pages.select(
         "page_id",
         web.article(F.col("html")).alias("article"),
@@ -215,12 +220,16 @@ def knn_within(spark, folder):
     return search.knn_within(_as_queries(vectors), vectors, "label", 3)
 
 
-def _index(spark, folder):
+def _build(spark, folder):
     return index.build_index(_vectors(spark, folder), DIM, cells=16)
 
 
+def _index(spark, folder):
+    return stored_once(spark, folder, "index", lambda: _build(spark, folder))
+
+
 def index_build(spark, folder):
-    return _index(spark, folder).rows.select("id", "cell", F.round("distance", 6).alias("distance"))
+    return _build(spark, folder).rows.select("id", "cell", F.round("distance", 6).alias("distance"))
 
 
 def knn_ivf(spark, folder):
@@ -456,30 +465,24 @@ def latest_per_key(spark, folder):
     return evaluation.latest_per_key(pages, ["site"], "version", "page_id")
 
 
-def _run(spark, folder, k):
-    """Passages retrieved for every logged request, and the best one as answer."""
+def _run(spark, folder):
+    """Ranked passage sources for every logged request, and the best passage as answer."""
     requests = request_log(spark, folder).select(
         F.substring("databricks_request_id", 2, 20).cast("long").alias("query_id"),
         F.col("request").alias("text"),
     )
     hits = stage(
-        chat.retrieve(requests, corpus(spark, folder), EMBEDDER, DIM, k), "hits"
+        chat.retrieve(requests, corpus(spark, folder), EMBEDDER, DIM), "hits"
     ).withColumn("request_id", F.concat(F.lit("r"), F.col("query_id")))
     answers = hits.where(F.col("rank") == 1).select("request_id", F.col("content").alias("answer"))
     sources = documents(spark, folder).select(document_url().alias("url"), F.col("source").alias("doc_uri"))
-    return answers, hits.join(sources, "url").select("request_id", "doc_uri")
-
-
-def _metrics(spark, folder, k, answers=None):
-    found, hits = _run(spark, folder, k)
-    evaluation_rows = stage(eval_set_as_coded(spark, folder), "evaluation")
-    return evaluation.eval_metrics(
-        evaluation_rows, found if answers is None else answers, hits, expected_context(spark, folder)
-    )
+    return answers, hits.join(sources, "url").select("request_id", "rank", "doc_uri")
 
 
 def eval_metrics(spark, folder):
-    return _metrics(spark, folder, 3)
+    answers, hits = _run(spark, folder)
+    rows = stage(eval_set_as_coded(spark, folder), "evaluation")
+    return evaluation.eval_metrics(rows, answers, hits, expected_context(spark, folder))
 
 
 def eval_compare(spark, folder):
@@ -487,24 +490,32 @@ def eval_compare(spark, folder):
     logged = request_log(spark, folder).where(F.col("response").isNotNull()).select(
         F.col("databricks_request_id").alias("request_id"), F.col("response").alias("answer")
     )
+    answers, hits = _run(spark, folder)
+    rows = stage(eval_set_as_coded(spark, folder), "evaluation")
+    expected = expected_context(spark, folder)
     return evaluation.eval_compare(
-        _metrics(spark, folder, 3), _metrics(spark, folder, 1, logged)
+        evaluation.eval_metrics(rows, answers, hits, expected),
+        evaluation.eval_metrics(rows, logged, hits.where(F.col("rank") == 1), expected),
     )
 
 
 # Streams
 
 
-def _land(spark, folder):
-    """The web pages, one file each, in a fresh folder of the shared work area."""
-    landing = new_path(spark, "landing")
-    pages = spread(table(spark, folder, "pages").select("html"))
-    pages.write.option("maxRecordsPerFile", 1).text(landing)
-    return landing
+def landed_pages(spark, folder):
+    """The web pages, one file each, in a folder of the shared work area."""
+
+    def write():
+        path = new_path(spark, "landing")
+        pages = spread(table(spark, folder, "pages").select("html"))
+        pages.write.option("maxRecordsPerFile", 1).text(path)
+        return path
+
+    return stored_once(spark, folder, "landing", write)
 
 
 def ingest_files(spark, folder):
-    landing, raw = _land(spark, folder), new_path(spark, "raw")
+    landing, raw = landed_pages(spark, folder), new_path(spark, "raw")
     progress = new_path(spark, "progress")
     # The second run finds nothing new and adds nothing.
     for _ in range(2):
@@ -539,7 +550,7 @@ def corpus_to_index(spark, folder):
     """Page files through every stage to an index; compared up to the embeddings."""
     job = CorpusJob(
         spark,
-        _land(spark, folder),
+        landed_pages(spark, folder),
         new_path(spark, "corpus-job"),
         html_parser,
         EMBEDDER,

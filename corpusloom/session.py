@@ -75,17 +75,21 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def arrow_batch(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Small Arrow batches while a job handles large rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A session setting for the duration of a block."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def arrow_batch(spark: SparkSession, rows: int):
+    """Small Arrow batches while a job handles large rows."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from corpusloom.session import setting
+
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def drain(stream: DataFrame, checkpoint: str, path: str | None = None, table: str | None = None):
     """Append everything new to a folder or a table and wait for the end.
@@ -20,6 +24,10 @@ def drain(stream: DataFrame, checkpoint: str, path: str | None = None, table: st
         .trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
     )
-    query = writer.toTable(table) if table else writer.start(path)
-    query.awaitTermination()
+    # By default every new file is looked up in a task of its own.
+    spark = stream.sparkSession
+    lookups = 4 * spark.sparkContext.defaultParallelism
+    with setting(spark, LISTING_TASKS, lookups):
+        query = writer.toTable(table) if table else writer.start(path)
+        query.awaitTermination()
     return query
