@@ -25,11 +25,15 @@ from corpusloom.session import stage
 FOLD_CHARS = 1_000_000
 
 
+def _line() -> Column:
+    return F.concat("role", F.lit(": "), "text")
+
+
 def chat_heads(messages: DataFrame, last_user: bool = False) -> DataFrame:
-    """``(conv_id, question, last_turn, has_history)`` of every conversation.
+    """``(conv_id, question, last_turn, has_history, chars)`` of every conversation.
 
     The question is the last message whatever its role; with ``last_user`` it is
-    the last message of the user.
+    the last message of the user. ``chars`` is the length of all messages.
     """
     asked = F.when(F.col("role") == "user", F.col("turn")) if last_user else F.col("turn")
     return (
@@ -38,6 +42,7 @@ def chat_heads(messages: DataFrame, last_user: bool = False) -> DataFrame:
             F.max_by("text", asked).alias("question"),
             F.max(asked).alias("last_turn"),
             F.min("turn").alias("first_turn"),
+            F.sum(F.length(_line())).alias("chars"),
         )
         .where(F.col("last_turn").isNotNull())
         .select(
@@ -45,6 +50,7 @@ def chat_heads(messages: DataFrame, last_user: bool = False) -> DataFrame:
             "question",
             "last_turn",
             (F.col("first_turn") < F.col("last_turn")).alias("has_history"),
+            "chars",
         )
     )
 
@@ -74,24 +80,15 @@ def chat_split(messages: DataFrame, last_user: bool = False) -> DataFrame:
     return history.unionByName(question)
 
 
-def fold_history(history: DataFrame, fold_chars: int = FOLD_CHARS) -> DataFrame:
+def fold_lines(turns: DataFrame) -> DataFrame:
     """``(conv_id, history)``: lines ``role: text`` in order of turn.
 
-    Conversations longer than ``fold_chars`` are not folded and not in the
-    result; no model could read them, and their messages stay available as rows.
+    Callers leave out conversations whose summed length exceeds ``FOLD_CHARS``:
+    no model could read them, and their messages stay available as rows.
     """
-    line = F.concat("role", F.lit(": "), "text")
-    lines = history.select("conv_id", "turn", line.alias("line"))
-    short = (
-        lines.groupBy("conv_id")
-        .agg(F.sum(F.length("line") + 1).alias("chars"))
-        .where(F.col("chars") <= fold_chars)
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "line")))
-    return (
-        lines.join(short.select("conv_id"), "conv_id", "left_semi")
-        .groupBy("conv_id")
-        .agg(F.array_join(F.transform(ordered, lambda m: m["line"]), "\n").alias("history"))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", _line().alias("line"))))
+    return turns.groupBy("conv_id").agg(
+        F.array_join(F.transform(ordered, lambda m: m["line"]), "\n").alias("history")
     )
 
 
@@ -104,7 +101,8 @@ def rewrite_prompts(
     history, system messages counted; otherwise the question is the query.
     """
     heads = chat_heads(messages, last_user)
-    folded = fold_history(chat_history(messages, heads), fold_chars)
+    short = heads.where(F.col("chars") <= fold_chars)
+    folded = fold_lines(chat_history(messages, short))
     return heads.join(folded, "conv_id", "left").select(
         "conv_id",
         "question",
@@ -254,5 +252,9 @@ def model_requests(prompt_rows: DataFrame, fold_chars: int = FOLD_CHARS) -> Data
     turns = prompt_rows.where(F.col("seq") > 0).select(
         "conv_id", F.col("seq").alias("turn"), "role", F.col("content").alias("text")
     )
-    folded = fold_history(turns, fold_chars).withColumnRenamed("history", "prompt")
+    sizes = turns.groupBy("conv_id").agg(F.sum(F.length(_line())).alias("chars"))
+    short = sizes.where(F.col("chars") <= fold_chars).select("conv_id")
+    folded = fold_lines(turns.join(short, "conv_id", "left_semi")).withColumnRenamed(
+        "history", "prompt"
+    )
     return system.join(folded, "conv_id")

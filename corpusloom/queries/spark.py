@@ -429,7 +429,9 @@ def merge_assessments(spark, folder):
 
 
 def requests_with_feedback(spark, folder):
-    joined = feedback.requests_with_feedback(request_log(spark, folder), _merged(spark, folder))
+    # Read twice by the join, hence stored.
+    merged = stage(_merged(spark, folder), "merged")
+    joined = feedback.requests_with_feedback(request_log(spark, folder), merged)
     return joined.select(
         "databricks_request_id",
         "request",

@@ -90,6 +90,12 @@ def arrow_batch(spark: SparkSession, rows: int):
     return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def publish_views(**frames: DataFrame) -> None:
+    """Make frames known to SQL under the given names."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

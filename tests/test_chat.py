@@ -57,7 +57,7 @@ def test_history_drops_other_roles_but_counts_them(talks):
 
 
 def test_long_history_is_not_folded_but_stays_whole(talks):
-    asked = by_id(chat.search_texts(talks, fold_chars=20), "conv_id", "search_text")
+    asked = by_id(chat.search_texts(talks, fold_chars=30), "conv_id", "search_text")
     assert asked[1] == ("And then?",) and asked[3] == ("system: Rules\nhello",)
     rows = chat.assemble_prompts(talks, talks.select("conv_id").limit(0).withColumn("context", F.lit("")))
     assert rows.where("conv_id = 1").count() == 4

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.vectors import HashEmbedder
 from corpusloom.operators.keys import append_new, assign_ids, digits_for
 from corpusloom.plans.corpus import CorpusJob
-from corpusloom.session import arrow_batch, require_rows, stage, table_exists, work_dir
+from corpusloom.session import arrow_batch, publish_views, require_rows, stage, table_exists, work_dir
 from corpusloom.sources import web
 from corpusloom.sources.files import binary_files, table_stream
 from corpusloom.streaming.drain import drain
@@ -132,6 +132,8 @@ def test_session_helpers(spark):
         assert spark.conf.get(key) == "10"
     assert spark.conf.get(key) == before
     assert not table_exists(spark, "no_such_table")
+    publish_views(three=spark.range(3))
+    assert spark.sql("select sum(id) from three").first()[0] == 3
     with pytest.raises(ValueError):
         require_rows(spark.range(0))
     shared = spark.conf.get("spark.checkpoint.dir", None)
