@@ -19,6 +19,7 @@ from corpusloom.operators.search import (
     TILE_SCORES,
     best_k,
     candidates,
+    each_once,
     matrix,
 )
 from corpusloom.session import new_path, stage
@@ -191,9 +192,11 @@ def knn_probed(
         np.put_along_axis(picked, chosen, True, axis=1)
         return picked
 
-    asked = queries.select("query_id", F.col("embedding").alias("vector"))
-    probes = stage(_probes(asked, len(index.centroids), nearest), "probes")
-    return best_k(candidates(probes, index.rows, k, broadcast_bytes), k)
+    def run(asked: DataFrame) -> DataFrame:
+        probes = stage(_probes(asked, len(index.centroids), nearest), "probes")
+        return best_k(candidates(probes, index.rows, k, broadcast_bytes), k)
+
+    return each_once(queries.select("query_id", F.col("embedding").alias("vector")), run)
 
 
 def knn_pruned(
@@ -225,26 +228,21 @@ def knn_pruned(
         open_cells = (bound >= reached[:, None]) & (radii >= 0)[None, :]
         return open_cells & ~home(vectors)
 
-    asked = stage(queries.select("query_id", F.col("embedding").alias("vector")), "query")
-    first = stage(
-        candidates(stage(_probes(asked, len(index.centroids), home), "probes"), index.rows, k, broadcast_bytes),
-        "found",
-    )
-    kth = (
-        best_k(first, k)
-        .groupBy("query_id")
-        .agg(
-            F.when(F.count("*") == k, F.round(F.min("score") * SCALE))
-            .otherwise(F.lit(-2.0 * SCALE))
-            .alias("reached")
+    cells, nothing = len(index.centroids), F.lit(-2.0 * SCALE)
+
+    def run(asked: DataFrame) -> DataFrame:
+        probes = stage(_probes(asked, cells, home), "probes")
+        first = stage(candidates(probes, index.rows, k, broadcast_bytes), "found")
+        kth = F.when(F.count("*") == k, F.round(F.min("score") * SCALE)).otherwise(nothing)
+        reached = best_k(first, k).groupBy("query_id").agg(kth.alias("reached"))
+        known = asked.join(reached, "query_id", "left").withColumn(
+            "reached", F.coalesce("reached", nothing)
         )
-    )
-    known = asked.join(kth, "query_id", "left").withColumn(
-        "reached", F.coalesce("reached", F.lit(-2.0 * SCALE))
-    )
-    more = stage(_probes(known, len(index.centroids), rest, "reached"), "probes")
-    second = candidates(more, index.rows, k, broadcast_bytes)
-    return best_k(first.unionByName(second), k)
+        more = stage(_probes(known, cells, rest, "reached"), "probes")
+        second = candidates(more, index.rows, k, broadcast_bytes)
+        return best_k(first.unionByName(second), k)
+
+    return each_once(queries.select("query_id", F.col("embedding").alias("vector")), run)
 
 
 def index_diff(old: DataFrame, new: DataFrame, key: str, *payload: str) -> DataFrame:

@@ -13,7 +13,7 @@ query table nor a cell with a third of all rows ends up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -198,6 +198,36 @@ def best_k(found: DataFrame, k: int) -> DataFrame:
     )
 
 
+def each_once(queries: DataFrame, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Search every distinct query once and give its results to all its copies.
+
+    ``queries`` is ``(query_id, vector)``, with ``cell`` if it matters. They are
+    stored and counted first; unless most are copies, ``run`` gets them as they
+    are. Copies of a frequent query would otherwise meet copies of a frequent
+    vector pair by pair.
+    """
+    parts = F.transform("vector", lambda x: x.cast("string"))
+    cell = [c for c in queries.columns if c == "cell"]
+    asked = stage(queries.withColumn("digest", F.md5(F.array_join(parts, ","))), "query")
+    same = ["digest", *cell]
+    size = asked.agg(
+        F.count("*").alias("rows"), F.count_distinct(*same).alias("distinct")
+    ).first()
+    if size["rows"] <= 2 * size["distinct"]:
+        return run(asked.drop("digest"))
+    first = stage(
+        asked.groupBy(*same).agg(
+            F.min("query_id").alias("query_id"), F.any_value("vector").alias("vector")
+        ),
+        "distinct",
+    )
+    found = run(first.drop("digest")).withColumnRenamed("query_id", "first_id")
+    copies = asked.select("query_id", *same).join(
+        first.select(*same, F.col("query_id").alias("first_id")), same
+    )
+    return copies.join(found, "first_id").select("query_id", "rank", "id", "score")
+
+
 def knn(
     queries: DataFrame,
     corpus: DataFrame,
@@ -208,17 +238,19 @@ def knn(
 ) -> DataFrame:
     """The k most similar rows of ``corpus (id, embedding)`` per query.
 
-    ``queries`` is ``(query_id, embedding)`` and gets stored first, unless it is
-    ``stored`` already; ``where`` limits the corpus before anything is scored.
+    ``queries`` is ``(query_id, embedding)``, a stored table of distinct ones if
+    ``stored`` says so; ``where`` limits the corpus before anything is scored.
     """
     if where is not None:
         corpus = corpus.where(where)
     one_cell = F.lit(0).cast("long").alias("cell")
-    asked = queries.select("query_id", F.col("embedding").alias("vector"), one_cell)
-    if not stored:
-        asked = stage(asked, "query")
     vectors = corpus.select("id", F.col("embedding").alias("vector"), one_cell)
-    return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
+
+    def run(asked: DataFrame) -> DataFrame:
+        return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
+
+    asked = queries.select("query_id", F.col("embedding").alias("vector"), one_cell)
+    return run(asked) if stored else each_once(asked, run)
 
 
 def knn_within(
@@ -231,9 +263,11 @@ def knn_within(
     """As ``knn``, but a query sees only rows that share its ``group``."""
     cell = F.col(group).alias("cell")
     named = queries.where(cell.isNotNull())
-    asked = stage(named.select("query_id", F.col("embedding").alias("vector"), cell), "query")
     vectors = corpus.select("id", F.col("embedding").alias("vector"), cell)
-    return best_k(candidates(asked, vectors, k, broadcast_bytes), k)
+    return each_once(
+        named.select("query_id", F.col("embedding").alias("vector"), cell),
+        lambda asked: best_k(candidates(asked, vectors, k, broadcast_bytes), k),
+    )
 
 
 def with_payload(found: DataFrame, corpus: DataFrame, *columns: str) -> DataFrame:

@@ -13,7 +13,14 @@ from corpusloom.operators.index import (
     knn_pruned,
     sync_index,
 )
-from corpusloom.operators.search import BROADCAST_BYTES, best_k, candidates, knn, knn_within
+from corpusloom.operators.search import (
+    BROADCAST_BYTES,
+    best_k,
+    candidates,
+    each_once,
+    knn,
+    knn_within,
+)
 
 DIM = 8
 
@@ -47,8 +54,12 @@ def queries(corpus):
 
 
 def brute(data, k, allowed=lambda q, c: True):
+    return brute_for(data, data, k, allowed)
+
+
+def brute_for(queries, data, k, allowed=lambda q, c: True):
     out = []
-    for qi, q, qg in data:
+    for qi, q, qg in queries:
         scored = []
         for ci, c, cg in data:
             if allowed(qg, cg):
@@ -87,6 +98,26 @@ def test_filter_applies_before_scoring(data, corpus, queries):
     assert {r[2] for r in got} <= set(range(590, 600)) and len(got) == 1800
 
 
+def test_copies_of_queries_are_searched_once(spark, data, corpus, index):
+    most = [(i, data[i % 40 + 190][1], data[i % 40 + 190][2]) for i in range(300)]
+    queries = vectors(spark, most).withColumnRenamed("id", "query_id")
+    searched = []
+
+    def run(asked):
+        searched.append(asked.count())
+        return knn_probed(asked.withColumnRenamed("vector", "embedding"), index, 3, 99)
+
+    exact = {r[0]: r[1:] for r in rows(each_once(queries.select("query_id", F.col("embedding").alias("vector")), run))}
+    # Twelve copies of the hot vector, ten zero vectors, the rest distinct.
+    assert searched == [len({v.tobytes() for _, v, _ in most})] and len(exact) == 300
+    want = rows(knn_pruned(queries, index, 3))
+    assert rows(knn(queries, corpus, 3)) == want and len(want) == 900
+    flat = brute_for(most, data, 3)
+    assert want == flat
+    within = rows(knn_within(queries, corpus, "grp", 2))
+    assert within == brute_for(most, data, 2, lambda q, c: q == c)
+
+
 def test_fewer_candidates_than_k(corpus, queries):
     got = rows(knn(queries, corpus, 3, where=F.col("id") == 5))
     assert [r[1] for r in got] == [1] * 600
