@@ -47,10 +47,6 @@ def fill(template: str, **values: Column) -> Column:
     )
 
 
-def rewrite_prompt(chat_history: Column, question: Column) -> Column:
-    return fill(REWRITE_TEMPLATE, chat_history=chat_history, question=question)
-
-
 def system_message(context: Column, question: Column) -> Column:
     return fill(ANSWER_TEMPLATE, context=context, question=question)
 

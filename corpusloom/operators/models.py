@@ -63,7 +63,8 @@ def generate(
     max_new_tokens: Column | None = None,
     out: str = "output",
 ) -> DataFrame:
-    """Add generated text. Missing parameters take their defaults row by row.
+    """Add generated text. Missing parameters take their defaults row by row, and a
+    row without a prompt gets no text.
 
     The generator sees a frame with the columns prompt, system_prompt,
     temperature and max_new_tokens and replies with one text per row.
@@ -83,11 +84,12 @@ def generate(
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         generator = make_generator()
-        for requests in batches:
-            replies = list(generator(requests))
+        for batch in batches:
+            requests = batch[batch["prompt"].notna()]
+            replies = list(generator(requests)) if len(requests) else []
             if len(replies) != len(requests):
                 raise ValueError(f"{len(replies)} replies for {len(requests)} requests")
-            yield pd.Series(replies, dtype=object)
+            yield pd.Series(replies, index=requests.index, dtype=object).reindex(batch.index)
 
     # Sampled text differs from run to run, and a filter on it must not run the model twice.
     return df.withColumn(out, answer.asNondeterministic()(request))

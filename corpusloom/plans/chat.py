@@ -2,8 +2,8 @@
 
 A conversation is rows of ``(conv_id, turn, role, text)``. Prompts stay rows of
 messages as well: a conversation of any length passes through without being
-gathered in one task. Text is folded into one string only where its size has
-been summed up first.
+gathered in one task. Text is folded into one string only in pieces of some
+turns, or where its size has been summed up first.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from corpusloom.operators.embedding import embed
 from corpusloom.operators.search import knn, with_payload
 from corpusloom.session import stage
 
-# Longest history that is folded into one string, far beyond any model window.
+# Longest text that is folded for a model call, far beyond any model window, and
+# turns per piece of a rewrite prompt.
 FOLD_CHARS = 1_000_000
+PIECE_TURNS = 256
 
 
 def _line() -> Column:
@@ -30,10 +32,10 @@ def _line() -> Column:
 
 
 def chat_heads(messages: DataFrame, last_user: bool = False) -> DataFrame:
-    """``(conv_id, question, last_turn, has_history, chars)`` of every conversation.
+    """``(conv_id, question, opening, last_turn, has_history)`` per conversation.
 
     The question is the last message whatever its role; with ``last_user`` it is
-    the last message of the user. ``chars`` is the length of all messages.
+    the last message of the user. ``opening`` is the first message.
     """
     asked = F.when(F.col("role") == "user", F.col("turn")) if last_user else F.col("turn")
     return (
@@ -42,15 +44,15 @@ def chat_heads(messages: DataFrame, last_user: bool = False) -> DataFrame:
             F.max_by("text", asked).alias("question"),
             F.max(asked).alias("last_turn"),
             F.min("turn").alias("first_turn"),
-            F.sum(F.length(_line())).alias("chars"),
+            F.min_by("text", "turn").alias("opening"),
         )
         .where(F.col("last_turn").isNotNull())
         .select(
             "conv_id",
             "question",
+            "opening",
             "last_turn",
             (F.col("first_turn") < F.col("last_turn")).alias("has_history"),
-            "chars",
         )
     )
 
@@ -80,64 +82,67 @@ def chat_split(messages: DataFrame, last_user: bool = False) -> DataFrame:
     return history.unionByName(question)
 
 
-def fold_lines(turns: DataFrame) -> DataFrame:
-    """``(conv_id, history)``: lines ``role: text`` in order of turn.
-
-    Callers leave out conversations whose summed length exceeds ``FOLD_CHARS``:
-    no model could read them, and their messages stay available as rows.
-    """
+def _fold(*keys: str | Column):
+    """Lines ``role: text`` in order of turn, one string per group."""
     ordered = F.array_sort(F.collect_list(F.struct("turn", _line().alias("line"))))
-    return turns.groupBy("conv_id").agg(
-        F.array_join(F.transform(ordered, lambda m: m["line"]), "\n").alias("history")
+    return lambda turns: turns.groupBy(*keys).agg(
+        F.array_join(F.transform(ordered, lambda m: m["line"]), "\n").alias("lines")
     )
 
 
 def rewrite_prompts(
-    messages: DataFrame, last_user: bool = False, fold_chars: int = FOLD_CHARS
+    messages: DataFrame, last_user: bool = False, piece_turns: int = PIECE_TURNS
 ) -> DataFrame:
-    """``(conv_id, question, has_history, history, prompt)``.
+    """``(conv_id, piece, text)``: the prompt that asks a model for a search query.
 
-    The prompt asks a model for a search query. It exists only where there is a
-    history, system messages counted; otherwise the question is the query.
+    It exists only where there is a history, system messages counted; otherwise
+    the question itself is the query. The pieces of a conversation, in order,
+    make up its prompt. A piece spans ``piece_turns`` turns, so an ordinary
+    prompt is one row and a very long one never has to fit one value.
     """
     heads = chat_heads(messages, last_user)
-    short = heads.where(F.col("chars") <= fold_chars)
-    folded = fold_lines(chat_history(messages, short))
-    return heads.join(folded, "conv_id", "left").select(
-        "conv_id",
-        "question",
-        "has_history",
-        "history",
-        F.when(
-            F.col("has_history"),
-            prompts.rewrite_prompt(F.col("history"), F.col("question")),
-        ).alias("prompt"),
+    piece = F.floor(F.col("turn") / piece_turns).alias("piece")
+    pieces = _fold("conv_id", piece)(chat_history(messages, heads))
+    ends = pieces.groupBy("conv_id").agg(
+        F.min("piece").alias("first"), F.max("piece").alias("last")
+    )
+    before, _, after = prompts.REWRITE_TEMPLATE.partition("{chat_history}")
+    opening = F.when(F.col("piece") == F.col("first"), before).otherwise("\n")
+    closing = F.when(
+        F.col("piece") == F.col("last"), prompts.fill(after, question=F.col("question"))
+    ).otherwise("")
+    return (
+        pieces.join(ends, "conv_id")
+        .join(heads.select("conv_id", "question"), "conv_id")
+        .select("conv_id", "piece", F.concat(opening, "lines", closing).alias("text"))
     )
 
 
-Rewriter = Callable[[Column, Column, Column], Column]
-
-
-def history_then_question(prompt: Column, history: Column, question: Column) -> Column:
-    """Stand-in for a query-writing model: searches for the whole conversation."""
-    return F.concat_ws("\n", history, question)
+Rewriter = Callable[[Column], Column]
 
 
 def search_texts(
-    messages: DataFrame,
-    rewriter: Rewriter = history_then_question,
-    last_user: bool = False,
-    fold_chars: int = FOLD_CHARS,
+    messages: DataFrame, rewriter: Rewriter | None = None, last_user: bool = False
 ) -> DataFrame:
-    """``(conv_id, question, search_text)``, rewritten where there is a history."""
-    asked = rewrite_prompts(messages, last_user, fold_chars)
-    rewritten = rewriter(F.col("prompt"), F.col("history"), F.col("question"))
-    return asked.select(
-        "conv_id",
-        "question",
-        F.when(F.col("prompt").isNotNull(), rewritten)
-        .otherwise(F.col("question"))
-        .alias("search_text"),
+    """``(conv_id, search_text)``, rewritten where there is a history.
+
+    ``rewriter`` turns the prompt column into a query; a prompt of several pieces
+    is beyond any model, so there the question is the query. Without a rewriter
+    the opening message and the question stand in for what a model would write.
+    """
+    heads = chat_heads(messages, last_user)
+    if rewriter is None:
+        rewritten = F.when(
+            F.col("has_history"), F.concat_ws("\n", F.col("opening"), F.col("question"))
+        )
+        return heads.select("conv_id", F.coalesce(rewritten, "question").alias("search_text"))
+    pieces = rewrite_prompts(messages, last_user)
+    several = pieces.where(F.col("text").startswith("\n")).select("conv_id").distinct()
+    single = pieces.join(several, "conv_id", "left_anti").select(
+        "conv_id", rewriter(F.col("text")).alias("rewritten")
+    )
+    return heads.join(single, "conv_id", "left").select(
+        "conv_id", F.coalesce("rewritten", "question").alias("search_text")
     )
 
 
@@ -231,7 +236,7 @@ def rag_prompts(
     embedder: BatchEmbedder,
     dim: int,
     k: int = PASSAGES,
-    rewriter: Rewriter = history_then_question,
+    rewriter: Rewriter | None = None,
     last_user: bool = False,
 ) -> DataFrame:
     """The whole chain up to the model call, one prompt per conversation."""
@@ -245,7 +250,11 @@ def rag_prompts(
 
 
 def model_requests(prompt_rows: DataFrame, fold_chars: int = FOLD_CHARS) -> DataFrame:
-    """``(conv_id, system_prompt, prompt)`` of prompts that can be sent as one text."""
+    """``(conv_id, system_prompt, prompt)``, one text per prompt for a model call.
+
+    A prompt longer than ``fold_chars``, summed before anything is folded, is
+    beyond any model: its row has a NULL prompt and its messages stay rows.
+    """
     system = prompt_rows.where(F.col("seq") == 0).select(
         "conv_id", F.col("content").alias("system_prompt")
     )
@@ -254,7 +263,5 @@ def model_requests(prompt_rows: DataFrame, fold_chars: int = FOLD_CHARS) -> Data
     )
     sizes = turns.groupBy("conv_id").agg(F.sum(F.length(_line())).alias("chars"))
     short = sizes.where(F.col("chars") <= fold_chars).select("conv_id")
-    folded = fold_lines(turns.join(short, "conv_id", "left_semi")).withColumnRenamed(
-        "history", "prompt"
-    )
-    return system.join(folded, "conv_id")
+    folded = _fold("conv_id")(turns.join(short, "conv_id", "left_semi"))
+    return system.join(folded.withColumnRenamed("lines", "prompt"), "conv_id", "left")

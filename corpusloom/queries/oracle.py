@@ -171,7 +171,7 @@ CONTEXT = (
 
 HEADS = (
     "heads",
-    "SELECT conv_id, arg_max(text, turn) AS question, max(turn) AS last_turn, min(turn) < max(turn) AS has_history "
+    "SELECT conv_id, arg_max(text, turn) AS question, arg_min(text, turn) AS opening, max(turn) AS last_turn, min(turn) < max(turn) AS has_history "
     "FROM conversations GROUP BY conv_id",
 )
 HISTORY = (
@@ -179,10 +179,12 @@ HISTORY = (
     "SELECT c.conv_id, c.turn, c.role, c.text FROM conversations c JOIN heads h "
     "ON c.conv_id = h.conv_id AND c.turn < h.last_turn",
 )
-FOLDED = (
-    "folded",
-    "SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS history FROM history GROUP BY conv_id",
+PIECES = (
+    "pieces",
+    "SELECT conv_id, turn // 256 AS piece, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS lines "
+    "FROM history GROUP BY ALL",
 )
+REWRITE_BEFORE, REWRITE_AFTER = REWRITE_TEMPLATE.split("{chat_history}")
 
 
 def assembled(contexts: str) -> str:
@@ -202,11 +204,10 @@ FIRST_CONTEXT = (
 RAG = [
     HEADS,
     HISTORY,
-    FOLDED,
     (
         "texts",
-        "SELECT conv_id AS query_id, CASE WHEN has_history THEN history || chr(10) || question ELSE question END "
-        "AS text FROM heads LEFT JOIN folded USING (conv_id)",
+        "SELECT conv_id AS query_id, CASE WHEN has_history THEN opening || chr(10) || question ELSE question END "
+        "AS text FROM heads",
     ),
     *retrieval_parts("texts"),
     CONTEXT,
@@ -422,10 +423,10 @@ ORACLE = {
     "chat_split": with_clause(HEADS, HISTORY)
     + "SELECT conv_id, turn, role, text, 'history' AS part FROM history WHERE role IN ('user', 'assistant') UNION ALL "
     "SELECT c.conv_id, turn, role, text, 'question' FROM conversations c JOIN heads h ON c.conv_id = h.conv_id AND turn = last_turn",
-    "rewrite_prompt": with_clause(HEADS, HISTORY, FOLDED)
-    + f"SELECT conv_id, question, has_history, CASE WHEN has_history THEN "
-    f"{filled(REWRITE_TEMPLATE, chat_history='history', question='question')} END AS prompt "
-    "FROM heads LEFT JOIN folded USING (conv_id)",
+    "rewrite_prompt": with_clause(HEADS, HISTORY, PIECES)
+    + f"SELECT conv_id, piece, CASE WHEN piece = min(piece) OVER (PARTITION BY conv_id) THEN {quoted(REWRITE_BEFORE)} "
+    f"ELSE chr(10) END || lines || CASE WHEN piece = max(piece) OVER (PARTITION BY conv_id) THEN "
+    f"{filled(REWRITE_AFTER, question='question')} ELSE '' END AS text FROM pieces JOIN heads USING (conv_id)",
     "assemble_prompt": with_clause(HEADS, HISTORY, FIRST_CONTEXT) + assembled("first_context"),
     "prompt_budget": with_clause(HEADS, HISTORY, FIRST_CONTEXT, ("rows_", assembled("first_context")))
     + "SELECT conv_id, sum(len(regexp_extract_all(content, '\\S+')))::BIGINT AS prompt_tokens, "
@@ -436,8 +437,9 @@ ORACLE = {
         ("rows_", assembled("named")),
         (
             "requests",
-            "SELECT conv_id, max(content) FILTER (WHERE seq = 0) AS s, string_agg(role || ': ' || content, chr(10) ORDER BY seq) "
-            "FILTER (WHERE seq > 0) AS p FROM rows_ GROUP BY conv_id",
+            "SELECT conv_id, max(content) FILTER (WHERE seq = 0) AS s, CASE WHEN "
+            "sum(length(role) + 2 + length(content)) FILTER (WHERE seq > 0) <= 1000000 THEN "
+            "string_agg(role || ': ' || content, chr(10) ORDER BY seq) FILTER (WHERE seq > 0) END AS p FROM rows_ GROUP BY conv_id",
         ),
         ("wrapped", "SELECT conv_id, '<s>[INST]<<SYS>>' || chr(10) || s || chr(10) || '<</SYS>>' || chr(10) || chr(10) || chr(10) || p || '[/INST]' || chr(10) AS f FROM requests"),
     )

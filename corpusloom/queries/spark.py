@@ -296,8 +296,7 @@ def chat_split(spark, folder):
 
 
 def rewrite_prompt(spark, folder):
-    asked = chat.rewrite_prompts(_turns(spark, folder))
-    return asked.select("conv_id", "question", "has_history", "prompt")
+    return chat.rewrite_prompts(_turns(spark, folder))
 
 
 def _labelled_context(spark, folder):

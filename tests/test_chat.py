@@ -50,18 +50,44 @@ def test_question_of_last_user_on_request(talks):
 def test_history_drops_other_roles_but_counts_them(talks):
     split = chat.chat_split(talks).where("part = 'history'")
     assert {(r.conv_id, r.turn) for r in split.collect()} == {(1, 1), (1, 2), (4, 0)}
-    asked = by_id(chat.rewrite_prompts(talks), "conv_id", "prompt")
+    asked = by_id(chat.rewrite_prompts(talks), "conv_id", "text")
     # System-only history counts for the branch.
-    assert "Chat history: system: Rules\n\nQuestion: hello" in asked[3][0]
-    assert asked[2][0] is None
+    assert asked[3][0].endswith("Chat history: system: Rules\n\nQuestion: hello")
+    assert 2 not in asked and 5 not in asked
 
 
-def test_long_history_is_not_folded_but_stays_whole(talks):
-    asked = by_id(chat.search_texts(talks, fold_chars=30), "conv_id", "search_text")
-    assert asked[1] == ("And then?",) and asked[3] == ("system: Rules\nhello",)
-    rows = chat.assemble_prompts(talks, talks.select("conv_id").limit(0).withColumn("context", F.lit("")))
+def test_pieces_of_a_long_prompt_make_up_the_prompt(talks):
+    whole = by_id(chat.rewrite_prompts(talks), "conv_id", "text")
+    pieces = chat.rewrite_prompts(talks, piece_turns=1).orderBy("conv_id", "piece").collect()
+    joined = {}
+    for row in pieces:
+        joined[row.conv_id] = joined.get(row.conv_id, "") + row.text
+    assert joined == {k: v[0] for k, v in whole.items()}
+    assert len([r for r in pieces if r.conv_id == 1]) == 3
+
+
+def test_search_text_follows_the_branch(talks):
+    plain = by_id(chat.search_texts(talks), "conv_id", "search_text")
+    assert plain[2] == ("Only one",) and plain[3] == ("Rules\nhello",)
+    short = by_id(
+        chat.search_texts(talks, lambda prompt: F.right(prompt, F.lit(5))), "conv_id", "search_text"
+    )
+    assert short[2] == ("Only one",) and short[3] == ("hello",)
+
+
+def test_prompt_too_long_for_a_model_keeps_its_rows(talks):
+    none = talks.select("conv_id").limit(0).withColumn("context", F.lit(""))
+    rows = chat.assemble_prompts(talks, none)
+    asked = by_id(chat.model_requests(rows, fold_chars=30), "conv_id", "prompt")
+    assert asked[1] == (None,) and asked[2] == ("user: Only one",)
     assert rows.where("conv_id = 1").count() == 4
 
+    def make():
+        return lambda q: ["x" for _ in range(len(q))]
+
+    out = generate(chat.model_requests(rows, fold_chars=30), make, F.col("prompt"), F.lit("s"))
+    assert {r.conv_id for r in out.where("output is null").collect()} == {1}
+
 
 def test_values_that_look_like_placeholders_stay(spark, talks):
     contexts = spark.createDataFrame([(4, "see {question} {context}")], "conv_id long, context string")
