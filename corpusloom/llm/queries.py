@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import arrow_ids, packing
+from corpusloom.llm import arrow_ids, hilbert, mixing, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,26 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document, and the target of its source."""
+    return mixing.mixed_documents(_table(spark, folder, "documents"))
+
+
+def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document along the Hilbert curve, in 40 equal counts."""
+    placed = hilbert.hilbert_shards(_table(spark, folder, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve_index",
+    )
+
+
 def op9_arrow_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Place, number and checksum of every document's ids, read back from Arrow files."""
     docs = _table(spark, folder, "documents")
@@ -41,6 +61,8 @@ def op9_arrow_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_source_mix": op4_source_mix,
+    "op7_hilbert_shards": op7_hilbert_shards,
     "op9_arrow_ids": op9_arrow_ids,
 }
 ORACLE: dict[str, str] = {}
