@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import arrow_ids, hilbert, mixing, packing
+from corpusloom.llm import arrow_ids, hilbert, mixing, packing, secrets, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,40 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_documents(_table(spark, folder, "documents"))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Findings of the rules and of the network in every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train_on_documents(docs))
+
+    def joined(rows):
+        return F.array_join(
+            F.transform(
+                rows,
+                lambda s: F.concat_ws(
+                    ":",
+                    F.element_at(F.lit(list(secrets.KINDS)), s["kind"] + 1),
+                    s["start"].cast("string"),
+                    s["end"].cast("string"),
+                ),
+            ),
+            ",",
+        )
+
+    def number(kind: int):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+        number(3).alias("n_network"),
+    )
+
+
 def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document along the Hilbert curve, in 40 equal counts."""
     placed = hilbert.hilbert_shards(_table(spark, folder, "documents"), shards=40)
@@ -59,10 +93,19 @@ def op9_arrow_ids(spark: SparkSession, folder: str) -> DataFrame:
     return arrow_ids.ids_round_trip(docs, path, end_id=2).drop("part")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity, grade and verdict for every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train_severity(docs, _table(spark, folder, "labels"))
+    return toxicity.score_severity(docs, model).select("doc_id", "severity", "grade", "toxic")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_source_mix": op4_source_mix,
+    "op6_secrets": op6_secrets,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op9_arrow_ids": op9_arrow_ids,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
