@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import arrow_ids, hilbert, mixing, packing, secrets, toxicity
+from corpusloom.llm import arrow_ids, hilbert, imatch, mixing, packing, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,10 +37,16 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_documents(_table(spark, folder, "documents"))
 
 
+def op5_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    docs = _table(spark, folder, "documents")
+    return imatch.fingerprint_documents(docs, imatch.lexicon(docs))
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Findings of the rules and of the network in every document."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    found = secrets.find_secrets(docs, secrets.train_on_documents(docs))
+    found = secret_scan.find_secrets(docs, secret_scan.train_on_documents(docs))
 
     def joined(rows):
         return F.array_join(
@@ -48,7 +54,7 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
                 rows,
                 lambda s: F.concat_ws(
                     ":",
-                    F.element_at(F.lit(list(secrets.KINDS)), s["kind"] + 1),
+                    F.element_at(F.lit(list(secret_scan.KINDS)), s["kind"] + 1),
                     s["start"].cast("string"),
                     s["end"].cast("string"),
                 ),
@@ -103,6 +109,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_source_mix": op4_source_mix,
+    "op5_imatch": op5_imatch,
     "op6_secrets": op6_secrets,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op9_arrow_ids": op9_arrow_ids,
