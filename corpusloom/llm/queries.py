@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import arrow_ids, hilbert, imatch, mixing, packing, secret_scan, toxicity
+from corpusloom.llm import arrow_ids, hilbert, imatch, mixing, packing, secret_scan, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,23 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Payload, kind and reference of every page as read back from its archive."""
+    found = warc.page_captures(_table(spark, folder, "pages"), payloads=False)
+
+    def noted(name: str):
+        own = F.filter("metadata.fields", lambda f: f["key"] == name)
+        return F.try_element_at(own, F.lit(1))["value"].cast("long")
+
+    return found.select(
+        noted("page-id").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.kind").alias("record_type"),
+        noted("refers-to-page").alias("refers_to"),
+    )
+
+
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document, and the target of its source."""
     return mixing.mixed_documents(_table(spark, folder, "documents"))
@@ -108,6 +125,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_warc": op3_warc,
     "op4_source_mix": op4_source_mix,
     "op5_imatch": op5_imatch,
     "op6_secrets": op6_secrets,
@@ -115,4 +133,23 @@ QUERIES = {
     "op9_arrow_ids": op9_arrow_ids,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), hashed AS (
+    SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex,
+           min(page_id) OVER (PARTITION BY payload) AS first_id
+    FROM payloads
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(8), lambda i:
+           list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      ((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> s) & 31) + 1, 1)
+           ), 'string_agg', '')), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM hashed
+""",
+}
