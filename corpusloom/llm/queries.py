@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import arrow_ids, hilbert, imatch, mixing, packing, secret_scan, toxicity, warc
+from corpusloom.llm import arrow_ids, bottom_k, hilbert, imatch, learned_index, mixing, packing, secret_scan, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_learned_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors found for every hundredth vector, among all rows."""
+    table = _table(spark, folder, "embeddings")
+    return learned_index.nearest_rows(table, table.where("vec_id % 100 = 0"), k=10)
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Payload, kind and reference of every page as read back from its archive."""
     found = warc.page_captures(_table(spark, folder, "pages"), payloads=False)
@@ -109,6 +115,11 @@ def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return bottom_k.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_arrow_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Place, number and checksum of every document's ids, read back from Arrow files."""
     docs = _table(spark, folder, "documents")
@@ -125,11 +136,13 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_learned_index": op2_learned_index,
     "op3_warc": op3_warc,
     "op4_source_mix": op4_source_mix,
     "op5_imatch": op5_imatch,
     "op6_secrets": op6_secrets,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op8_bottom_k": op8_bottom_k,
     "op9_arrow_ids": op9_arrow_ids,
     "op10_toxicity": op10_toxicity,
 }
