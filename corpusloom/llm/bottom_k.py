@@ -409,3 +409,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         )
     )
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """All rows of ``docs`` but those whose doc_id is in ``gone``, counted before it travels."""
+    gone = stage(gone.distinct(), "gone")
+    few = gone.count() <= BROADCAST_CLASSES
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")

@@ -180,6 +180,7 @@ def mix(
     block_words: int = BLOCK_WORDS,
     shard_slots: int = SHARD_SLOTS,
     seed: int = SEED,
+    carry: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix of all documents ``(doc_id, text, source)`` as three stored tables.
 
@@ -187,20 +188,21 @@ def mix(
     pieces ``(row, shard, pass, block, first_word, words)``: the words of a document
     that a slot of a shard takes. A null text has no words, a null source is a source,
     repeated rows are documents of their own, documents with a null doc_id count like
-    others, other columns are not read, and an empty table gives empty results. The
+    others, of other columns only those in ``carry`` are read, and go into the rows, and an empty table gives empty results. The
     draw depends on the documents and the seed only, so reruns agree.
     """
     narrow = stage(
         docs.select(
             "doc_id",
             "source",
+            *carry,
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         ),
         "mix-sizes",
     )
     sources = stage(quotas(targets(narrow, weights, share, most), block_words), "mix-sources")
     known = sources.select(F.col("source").alias("name"), "sid")
-    known = narrow.join(known, narrow["source"].eqNullSafe(known["name"])).select("sid", "doc_id", "size")
+    known = narrow.join(known, narrow["source"].eqNullSafe(known["name"])).select("sid", "doc_id", "size", *carry)
     shuffled = F.xxhash64(F.lit(seed), "doc_id")
     # Distinct documents differ in one of these, so equal rows only have equal places.
     ordered = in_order(known, "sid", shuffled, "doc_id", "size", label="mix-order")
@@ -209,6 +211,7 @@ def mix(
         "doc_id",
         "sid",
         "size",
+        *carry,
         F.col("_start").alias("start"),
     )
     placed = stage(placed, "mix-rows")
@@ -268,3 +271,36 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
             "doc_id", "size", "source_size", "target", "coalesce(taken, 0L) AS taken"
         )
     )
+
+
+def mixed_texts(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix passes over them, with the words it takes.
+
+    A pass that takes all words of a document gives its whole text; otherwise the text is
+    cut to the ranges taken, each range with the white space after its words. Rows of which
+    nothing is taken, such as those without words, are left out. The table is stored once
+    with a key of its own for every row, so repeated rows stay apart.
+    """
+    keyed = stage(docs.withColumn("__mix_key", F.monotonically_increasing_id()), "mix-keyed")
+    rows, _, pieces = mix(keyed, carry=("__mix_key",), **options)
+    taken = (
+        pieces.join(rows.select("row", "__mix_key", "size"), "row")
+        .groupBy("__mix_key", "size", "pass")
+        .agg(
+            F.sum("words").alias("words"),
+            F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("ranges"),
+        )
+        .selectExpr("__mix_key", "CASE WHEN words < size THEN ranges END AS __mix_ranges")
+    )
+    parts = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    cut = F.array_join(
+        F.transform(
+            "__mix_ranges",
+            lambda r: F.array_join(
+                F.slice(parts, (r["first_word"] + 1).cast("int"), r["words"].cast("int")), ""
+            ),
+        ),
+        "",
+    )
+    text = F.when(F.col("__mix_ranges").isNull(), F.col("text")).otherwise(cut)
+    return keyed.join(taken, "__mix_key").withColumn("text", text).select(*docs.columns)
