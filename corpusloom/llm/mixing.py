@@ -83,8 +83,8 @@ def quotas(wanted: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         f"(source_size + {b - 1}) div {b} AS blocks",
     ).selectExpr(
         "*",
-        "coalesce(words div source_size, 0) AS passes",
-        "coalesce(words % source_size, 0) AS over",
+        "coalesce(words div nullif(source_size, 0), 0) AS passes",
+        "coalesce(words % nullif(source_size, 0), 0) AS over",
     ).selectExpr(
         "*",
         f"CASE WHEN over <= full * {b} THEN (over + {b - 1}) div {b} ELSE full + 1 END AS part_slots",
