@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import stage
+from corpusloom.session import arrow_batch, stage
 
 WORDS = 5
 KEPT, INDEXED = 48, 32
@@ -37,6 +37,7 @@ LIST = 24
 BLOCK = 2_000
 BEST = 2
 PARTNERS = 8
+SETS_AT_ONCE = 500
 BROADCAST_CLASSES = 400_000
 BASE = 0x9E3779B97F4A7C15 | 1
 SKETCH_DDL = "doc_id long, n_shingles long, class_key binary, sketch array<long>"
@@ -267,17 +268,16 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
             flag[grid[x]] = False
             enough = shared >= np.maximum(need[near], need[x])
             near, shared = near[enough], shared[enough]
-            order = np.lexsort((ids[near], -shared))[:best]
-            more = len(near) > best
-            for y in near[order]:
-                left.append(min(ids[x], ids[y]))
-                right.append(max(ids[x], ids[y]))
-                withheld.append(more)
+            partners = ids[near[np.lexsort((ids[near], -shared))[:best]]]
+            left.append(np.minimum(partners, ids[x]))
+            right.append(np.maximum(partners, ids[x]))
+            withheld.append(np.full(len(partners), len(near) > best))
+        none = np.zeros(0, "int64")
         return pa.table(
             {
-                "a": pa.array(left, pa.int64()),
-                "b": pa.array(right, pa.int64()),
-                "withheld": pa.array(withheld, pa.bool_()),
+                "a": np.concatenate([none, *left]),
+                "b": np.concatenate([none, *right]),
+                "withheld": np.concatenate([none.astype(bool), *withheld]),
             }
         )
 
@@ -358,7 +358,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     by_estimate = Window.partitionBy("end").orderBy(F.desc("estimate"), "a", "b")
     best = ends.withColumn("place", F.row_number().over(by_estimate)).where(F.col("place") <= BEST)
     tried = stage(best.select("a", "b").union(stars.select("a", "b")).distinct(), "tried")
-    links = stage(_linked(tried, sets), "links-first")
+    with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
+        links = stage(_linked(tried, sets), "links-first")
     labels = components(links)
 
     def labelled(frame: DataFrame, column: str, name: str) -> DataFrame:
@@ -384,7 +385,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = stage(_block_pairs(still, partners), "crowded-pairs")
         more = rest.union(_estimated(found.select("a", "b").distinct(), shown).select("a", "b")).distinct()
         more = stage(more.join(tried, ["a", "b"], "left_anti"), "more")
-        new = stage(_linked(more, sets), "links-more")
+        with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
+            new = stage(_linked(more, sets), "links-more")
         tried = tried.union(more)
         if not new.isEmpty():
             links = links.union(new)
