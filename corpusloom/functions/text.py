@@ -54,13 +54,13 @@ def file_name(url: Column) -> Column:
 
 def flat_element(html: Column, tag: str) -> Column:
     """Outer HTML of the first ``tag`` element that does not nest; NULL if none."""
-    found = F.regexp_extract(html, f"(?s)<{tag}(?:\\s[^>]*)?>.*?</{tag}>", 0)
+    found = F.regexp_extract(html, f"(?si)<{tag}(?:\\s[^>]*)?>.*?</{tag}>", 0)
     return F.nullif(F.trim(found), F.lit(""))
 
 
 def markup_to_text(html: Column) -> Column:
     """Visible text of an HTML fragment, cleaned."""
-    no_code = F.regexp_replace(html, r"(?s)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
+    no_code = F.regexp_replace(html, r"(?si)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
     no_tags = F.regexp_replace(no_code, r"<[^>]*>", " ")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         no_tags = F.replace(no_tags, F.lit(entity), F.lit(char))

@@ -2,8 +2,8 @@
 
 An assessment log row is ``(request_id, source struct<id>, timestamp, step_id,
 text_assessment struct<ratings map, suggested_output>, retrieval_assessment
-struct, schema_version, ...)``; a request log row is ``(databricks_request_id,
-request, response)`` with unique ids.
+struct, schema_version, ...)``; a request log row is ``(<key>, request, response)``
+with unique ids in the column that the caller names as ``key``.
 """
 
 from __future__ import annotations
@@ -105,9 +105,9 @@ def merge_assessments(
     return merged.select(*columns, "retrieval_assessments", "list_no")
 
 
-def requests_with_feedback(requests: DataFrame, merged: DataFrame) -> DataFrame:
+def requests_with_feedback(requests: DataFrame, merged: DataFrame, key: str = "log_id") -> DataFrame:
     """Every request with its feedback, if any."""
-    one = requests.withColumn("_id", F.col("databricks_request_id"))
+    one = requests.withColumn("_id", F.col(key))
     many = merged.withColumn("_id", F.col("request_id"))
     return left_join_many(one, many, ["_id"]).drop("_id")
 
@@ -117,7 +117,7 @@ def verdict(assessment: Column) -> Column:
     return assessment["ratings"][RATING]["value"]
 
 
-def _judged(requests: DataFrame, merged: DataFrame) -> DataFrame:
+def _judged(requests: DataFrame, merged: DataFrame, key: str) -> DataFrame:
     """Rated feedback rows with request and response; one row per list start."""
     rated = merged.where(
         verdict(F.col("text_assessment")).isNotNull() & (F.coalesce("list_no", F.lit(0)) == 0)
@@ -132,23 +132,25 @@ def _judged(requests: DataFrame, merged: DataFrame) -> DataFrame:
         .when(F.col("verdict") == NEGATIVE, THUMBS_DOWN)
         .otherwise(NO_FEEDBACK)
     )
-    asked = requests.withColumnRenamed("databricks_request_id", "request_id")
+    asked = requests.withColumnRenamed(key, "request_id")
     return rated.join(asked, "request_id").withColumn("type", label)
 
 
-def eval_set(requests: DataFrame, merged: DataFrame) -> DataFrame:
+def eval_set(requests: DataFrame, merged: DataFrame, key: str = "log_id") -> DataFrame:
     """The evaluation set as the reference SQL builds it.
 
     Its three branches exclude each other, so one scan labels every row. A
     thumbs-up always expects the logged response, even if it was edited.
     """
     expected = F.when(F.col("type") == THUMBS_UP, F.col("response")).otherwise(F.col("edited"))
-    return _judged(requests, merged).select(
+    return _judged(requests, merged, key).select(
         "request_id", "request", expected.alias("expected_response"), "type", "user_id"
     )
 
 
-def eval_set_documented(requests: DataFrame, merged: DataFrame, log: DataFrame) -> DataFrame:
+def eval_set_documented(
+    requests: DataFrame, merged: DataFrame, log: DataFrame, key: str = "log_id"
+) -> DataFrame:
     """The evaluation set as the documentation describes it.
 
     An edit wins over the logged response, and requests that nobody assessed are
@@ -157,13 +159,13 @@ def eval_set_documented(requests: DataFrame, merged: DataFrame, log: DataFrame)
     response = F.when(F.col("type") == THUMBS_UP, F.col("response"))
     columns = ["request_id", "request", "expected_response", "type", "user_id"]
     judged = (
-        _judged(requests, merged)
+        _judged(requests, merged, key)
         .withColumn("expected_response", F.coalesce("edited", response))
         .select(*columns)
     )
     text = F.lit(None).cast("string")
     silent = (
-        requests.withColumnRenamed("databricks_request_id", "request_id")
+        requests.withColumnRenamed(key, "request_id")
         .join(log.select("request_id").distinct(), "request_id", "left_anti")
         .withColumn("expected_response", text)
         .withColumn("type", F.lit(NO_FEEDBACK))

@@ -251,7 +251,8 @@ def index_diff(old: DataFrame, new: DataFrame, key: str, *payload: str) -> DataF
     Only a hash of the old payload is shuffled. Unchanged rows drop out; a
     deleted row has a NULL payload.
     """
-    row_hash = F.xxhash64(*payload)
+    # The hash passes over NULLs, so where they are is hashed too.
+    row_hash = F.xxhash64(*payload, *(F.col(c).isNull() for c in payload))
     before = old.select(key, row_hash.alias("old_hash"))
     after = new.select(key, *payload, row_hash.alias("new_hash"))
     change = (

@@ -49,8 +49,13 @@ def assign_ids(
 
 
 def new_rows(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not stored yet, so that a repeated append adds nothing."""
-    return rows.join(stored.select(*keys), keys, "left_anti")
+    """Rows whose key is not stored yet, so that a repeated append adds nothing.
+
+    NULLs are equal as keys. Of several rows with one key, one is new.
+    """
+    held = stored.select(*(F.col(c).alias(f"_held_{c}") for c in keys))
+    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in keys]
+    return rows.dropDuplicates(keys).join(held, same, "left_anti")
 
 
 def append_new(rows: DataFrame, table: str, keys: list[str]) -> None:
@@ -59,4 +64,6 @@ def append_new(rows: DataFrame, table: str, keys: list[str]) -> None:
     if spark.catalog.tableExists(table):
         stored = spark.table(table)
         rows = new_rows(rows, stored, keys).select(*stored.columns)
+    else:
+        rows = rows.dropDuplicates(keys)
     rows.write.mode("append").saveAsTable(table)

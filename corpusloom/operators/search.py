@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
     if rows == 0:
         return flat.reshape(0, 0)
-    if column.null_count or flat.size % rows:
+    if column.null_count or len(pc.list_value_length(column).unique()) > 1:
         raise ValueError("vectors of different dimension or missing")
     wide = flat.reshape(rows, -1)
     length = np.sqrt((wide * wide).sum(axis=1, keepdims=True))

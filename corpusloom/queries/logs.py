@@ -1,9 +1,9 @@
 """Request and assessment logs derived from the given tables.
 
-One request per conversation. An event of high value is an assessment of the
-request that bears its user's number, so the logs grow with the tables. The
-event type says which kind and verdict, the number in ``props`` the passage
-source and step, the hour the reviewer.
+One request per conversation. Every event is an assessment of the request that
+bears its user's number, so the logs grow with the tables. The event type says
+which kind and verdict, the number in ``props`` the passage source and step, the
+hour the reviewer; an event of high value brings an edited answer.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from corpusloom.sources.files import table
 
 TEXT_VERDICTS = {"purchase": "positive", "error": "negative", "view": "unsure"}
 PASSAGE_VERDICTS = {"click": "positive", "signup": "negative"}
-ASSESSED_ABOVE = 160
-EDITED_ABOVE = 220
+EDITED_ABOVE = 60
 
 
 def _verdict(verdicts: dict[str, str]):
@@ -37,12 +36,13 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
     return (
         turns.groupBy("conv_id")
         .agg(last("user").alias("request"), last("assistant").alias("response"))
-        .select(F.concat(F.lit("r"), F.col("conv_id")).alias("databricks_request_id"), "request", "response")
+        .select(F.concat(F.lit("r"), F.col("conv_id")).alias("log_id"), "request", "response")
     )
 
 
 def assessment_log(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").where(F.col("value") > ASSESSED_ABOVE)
+    judged = [*TEXT_VERDICTS, *PASSAGE_VERDICTS]
+    events = table(spark, folder, "events").where(F.col("event_type").isin(judged))
     number = F.regexp_extract("props", "[0-9]+", 0)
     text_verdict, passage_verdict = _verdict(TEXT_VERDICTS), _verdict(PASSAGE_VERDICTS)
     edited = F.when(
@@ -72,4 +72,4 @@ def assessment_log(spark: SparkSession, folder: str) -> DataFrame:
             ),
         ).alias("retrieval_assessment"),
         F.lit("1").alias("schema_version"),
-    ).where(F.col("text_assessment").isNotNull() | F.col("retrieval_assessment").isNotNull())
+    )

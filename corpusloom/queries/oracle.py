@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from corpusloom.functions.prompts import ANSWER_TEMPLATE, REWRITE_TEMPLATE
-from corpusloom.queries.logs import ASSESSED_ABOVE, EDITED_ABOVE
 
 DIM = 64
 
@@ -216,19 +215,18 @@ RAG = [
 
 REQUESTS = (
     "requests",
-    "SELECT 'r' || conv_id AS databricks_request_id, arg_max(text, turn) FILTER (WHERE role = 'user') AS request, "
+    "SELECT 'r' || conv_id AS log_id, arg_max(text, turn) FILTER (WHERE role = 'user') AS request, "
     "arg_max(text, turn) FILTER (WHERE role = 'assistant') AS response FROM conversations GROUP BY conv_id",
 )
 LOG = (
     "log",
-    f"""SELECT event_id, 'r' || user_id AS request_id, 'u' || (hour(ts) // 8) AS user_id, ts,
+    """SELECT event_id, 'r' || user_id AS request_id, 'u' || (hour(ts) // 8) AS user_id, ts,
     CASE event_type WHEN 'purchase' THEN 'positive' WHEN 'error' THEN 'negative' WHEN 'view' THEN 'unsure' END AS verdict,
-    CASE WHEN value > {EDITED_ABOVE} THEN 'edit' || event_id ELSE '' END AS suggested_output,
+    CASE WHEN value > 60 THEN 'edit' || event_id ELSE '' END AS suggested_output,
     CASE event_type WHEN 'click' THEN 'positive' WHEN 'signup' THEN 'negative' END AS passage_verdict,
     'src' || right(regexp_extract(props, '[0-9]+'), 1) AS doc_uri,
     's' || (regexp_extract(props, '[0-9]+')::INT // 25) AS step_id
-    FROM events WHERE value > {ASSESSED_ABOVE}
-    AND event_type IN ('purchase', 'error', 'view', 'click', 'signup')""",
+    FROM events WHERE event_type IN ('purchase', 'error', 'view', 'click', 'signup')""",
 )
 LATEST = (
     "latest",
@@ -248,18 +246,18 @@ MERGED = (
 )
 FEEDBACK = [REQUESTS, LOG, LATEST, COLLECTED, MERGED]
 CODED = """SELECT a.request_id, r.request, r.response AS expected_response, 'thumbs_up' AS type, a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.databricks_request_id WHERE a.verdict = 'positive'
+FROM merged a JOIN requests r ON a.request_id = r.log_id WHERE a.verdict = 'positive'
 UNION ALL SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output END, 'thumbs_down', a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.databricks_request_id WHERE a.verdict = 'negative'
+FROM merged a JOIN requests r ON a.request_id = r.log_id WHERE a.verdict = 'negative'
 UNION ALL SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output END, 'no_feedback_provided', a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.databricks_request_id
+FROM merged a JOIN requests r ON a.request_id = r.log_id
 WHERE a.verdict <> 'negative' AND a.verdict <> 'positive'"""
 DOCUMENTED = """SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output
 WHEN a.verdict = 'positive' THEN r.response END AS expected_response,
 CASE a.verdict WHEN 'positive' THEN 'thumbs_up' WHEN 'negative' THEN 'thumbs_down' ELSE 'no_feedback_provided' END AS type, a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.databricks_request_id WHERE a.verdict IS NOT NULL
-UNION ALL SELECT databricks_request_id, request, NULL, 'no_feedback_provided', NULL FROM requests
-WHERE databricks_request_id NOT IN (SELECT request_id FROM log)"""
+FROM merged a JOIN requests r ON a.request_id = r.log_id WHERE a.verdict IS NOT NULL
+UNION ALL SELECT log_id, request, NULL, 'no_feedback_provided', NULL FROM requests
+WHERE log_id NOT IN (SELECT request_id FROM log)"""
 EXPECTED = "SELECT DISTINCT request_id, doc_uri FROM log WHERE passage_verdict = 'positive'"
 
 
@@ -332,12 +330,12 @@ EVALUATED = [
     *FEEDBACK,
     ("coded", CODED),
     ("expected", EXPECTED),
-    ("texts", "SELECT substr(databricks_request_id, 2)::BIGINT AS query_id, request AS text FROM requests"),
+    ("texts", "SELECT substr(log_id, 2)::BIGINT AS query_id, request AS text FROM requests"),
     *retrieval_parts("texts"),
     ("near_first", "SELECT * FROM near WHERE rank = 1"),
 ]
 BEST_PASSAGE = "SELECT 'r' || query_id AS request_id, content AS answer FROM near_first JOIN numbered USING (id)"
-LOGGED = "SELECT databricks_request_id AS request_id, response AS answer FROM requests WHERE response IS NOT NULL"
+LOGGED = "SELECT log_id AS request_id, response AS answer FROM requests WHERE response IS NOT NULL"
 
 ARTICLE = "trim(regexp_extract(html, '(?s)<article(?:\\s[^>]*)?>.*?</article>'))"
 
@@ -459,8 +457,8 @@ ORACLE = {
     "merge_assessments": with_clause(LOG, LATEST, COLLECTED, MERGED)
     + "SELECT request_id, user_id, verdict, passages FROM merged",
     "requests_with_feedback": with_clause(*FEEDBACK)
-    + "SELECT databricks_request_id, request, request_id, user_id, verdict, passages FROM requests LEFT JOIN merged "
-    "ON databricks_request_id = request_id",
+    + "SELECT log_id, request, request_id, user_id, verdict, passages FROM requests LEFT JOIN merged "
+    "ON log_id = request_id",
     "eval_set_as_coded": with_clause(*FEEDBACK) + CODED,
     "eval_set_documented": with_clause(*FEEDBACK) + DOCUMENTED,
     "expected_context": with_clause(LOG) + EXPECTED,

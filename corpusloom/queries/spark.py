@@ -432,7 +432,7 @@ def requests_with_feedback(spark, folder):
     merged = stage(_merged(spark, folder), "merged")
     joined = feedback.requests_with_feedback(request_log(spark, folder), merged)
     return joined.select(
-        "databricks_request_id",
+        "log_id",
         "request",
         "request_id",
         F.col("source.id").alias("user_id"),
@@ -469,7 +469,7 @@ def latest_per_key(spark, folder):
 def _run(spark, folder):
     """Ranked passage sources for every logged request, and the best passage as answer."""
     requests = request_log(spark, folder).select(
-        F.substring("databricks_request_id", 2, 20).cast("long").alias("query_id"),
+        F.substring("log_id", 2, 20).cast("long").alias("query_id"),
         F.col("request").alias("text"),
     )
     hits = stage(
@@ -489,7 +489,7 @@ def eval_metrics(spark, folder):
 def eval_compare(spark, folder):
     """The retrieval run against the logged responses with one passage each."""
     logged = request_log(spark, folder).where(F.col("response").isNotNull()).select(
-        F.col("databricks_request_id").alias("request_id"), F.col("response").alias("answer")
+        F.col("log_id").alias("request_id"), F.col("response").alias("answer")
     )
     answers, hits = _run(spark, folder)
     rows = stage(eval_set_as_coded(spark, folder), "evaluation")

@@ -49,7 +49,7 @@ def log(spark):
 @pytest.fixture(scope="module")
 def requests(spark):
     return spark.createDataFrame(
-        REQUESTS, "databricks_request_id string, request string, response string"
+        REQUESTS, "log_id string, request string, response string"
     )
 
 
@@ -107,7 +107,7 @@ def test_merge_loses_the_id_of_retrieval_only_feedback(log, merged):
 def test_requests_with_feedback_keeps_every_request(requests, merged):
     rows = fb.requests_with_feedback(requests, merged).collect()
     assert len(rows) == 9
-    assert {r.databricks_request_id for r in rows if r.request_id is None} == {"r7", "r8"}
+    assert {r.log_id for r in rows if r.request_id is None} == {"r7", "r8"}
 
 
 def test_eval_set_as_coded(requests, merged):

@@ -100,6 +100,15 @@ def test_append_new_can_be_repeated(spark, folder):
     assert spark.table(name).count() == 6
 
 
+def test_append_new_takes_nulls_as_equal_and_drops_repeats(spark, folder):
+    name = "n_" + os.path.basename(folder).replace("-", "_").lower()
+    spark.sql(f"create table {name} (url string, chunk_idx long) using parquet location '{folder}/t'")
+    rows = spark.createDataFrame([(None, 1), (None, 1), ("u", None)], "url string, chunk_idx long")
+    for _ in range(2):
+        append_new(rows, name, ["url", "chunk_idx"])
+    assert spark.table(name).count() == 2
+
+
 def test_sitemap_with_namespace_and_cap(spark):
     xml = (
         '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'

@@ -3,22 +3,24 @@
 import pytest
 
 import __spark_entry__ as entry
+from corpusloom.queries.oracle import ORACLE
+from corpusloom.queries.spark import QUERIES
 from tools.compare import oracle_rows, rows
 
 ROWS_ONLY = {"index_build", "knn_ivf"}
 
 
 def test_only_approximate_queries_lack_a_twin():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_twin(spark, sf, name):
-    df = entry.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     got = df.collect()
     assert got
     if name not in ROWS_ONLY:
-        names, _, data = oracle_rows(sf, entry.oracle_sql()[name])
+        names, _, data = oracle_rows(sf, ORACLE[name])
         assert sorted(df.columns) == sorted(names)
         assert rows(df.columns, got) == rows(names, data)
 

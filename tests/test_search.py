@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from corpusloom.operators.search import (
     each_once,
     knn,
     knn_within,
+    matrix,
 )
 
 DIM = 8
@@ -173,6 +175,17 @@ def test_sync_equals_rebuilt_search_and_repeats(spark, data, corpus, index, quer
     assert index_diff(table, new, "id", "embedding").isEmpty()
 
 
+def test_diff_sees_a_value_that_moves_to_another_column(spark):
+    old = spark.createDataFrame([(1, None, "x"), (2, "a", None)], "id long, p string, q string")
+    new = spark.createDataFrame([(1, "x", None), (2, "a", None)], "id long, p string, q string")
+    assert [tuple(r) for r in index_diff(old, new, "id", "p", "q").collect()] == [(1, "update", "x", None)]
+
+
+def test_vectors_of_different_length_are_refused():
+    with pytest.raises(ValueError, match="dimension"):
+        matrix(pa.array([[1.0, 2.0], [1.0, 2.0, 3.0, 4.0]]))
+
+
 def test_hash_embedder_words_and_zero(spark):
     texts = ["Apple apple pie", "", "äöü !"]
     got = HashEmbedder(16)(texts)
