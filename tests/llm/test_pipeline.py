@@ -1,0 +1,81 @@
+"""The pipeline stage by stage on the smallest tables, and the registered twins."""
+
+import collections
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from corpusloom.llm import mixing, secret_scan, toxicity
+from test_operators import WORD, groups
+from tools.compare import oracle_rows, rows
+
+NAMES = ["toxicity", "near_duplicates", "secrets", "source_mix", "packing"]
+
+
+@pytest.fixture(scope="module")
+def kept(spark, sf, documents, tmp_path_factory):
+    """What every stage kept, written and read again."""
+    frames, docs = {"documents": documents}, documents
+    root = tmp_path_factory.mktemp("pipeline")
+    for name, work in corpus_pipeline.STAGES:
+        work(spark, docs, sf).write.parquet(f"{root}/{name}")
+        docs = frames[name] = spark.read.parquet(f"{root}/{name}")
+    return frames
+
+
+def texts(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_stages_and_columns(kept, documents):
+    assert [name for name, _ in corpus_pipeline.STAGES] == NAMES
+    for name in NAMES[:-1]:
+        assert kept[name].columns == documents.columns
+
+
+def test_only_toxic_documents_go(spark, sf, kept, documents):
+    model = toxicity.train_severity(documents, spark.read.parquet(f"{sf}/labels.parquet"))
+    scored = toxicity.score_severity(documents.select("doc_id", "text"), model)
+    want = {r.doc_id for r in scored.where("NOT toxic").collect()}
+    assert {i for i, _ in texts(kept["toxicity"])} == want
+
+
+def test_one_of_each_group_stays(kept):
+    before = texts(kept["toxicity"])
+    want = {least for (_, _, least), _ in groups(before).items()}
+    assert {i for i, _ in texts(kept["near_duplicates"])} == want
+
+
+def test_no_secret_of_the_rules_is_left(kept):
+    before, after = dict(texts(kept["near_duplicates"])), dict(texts(kept["secrets"]))
+    assert before.keys() == after.keys()
+    for text in after.values():
+        assert not secret_scan.base_findings(text or "", secret_scan.candidates(text or ""))
+
+
+def test_the_mix_takes_what_its_plan_says(kept):
+    plan = {r.doc_id: r.taken for r in mixing.mixed_documents(kept["secrets"]).collect()}
+    taken = collections.Counter()
+    for key, text in texts(kept["source_mix"]):
+        taken[key] += len(WORD.findall(text or ""))
+    assert all(taken[key] == number for key, number in plan.items())
+
+
+def test_every_token_is_packed(kept):
+    got = kept["packing"].agg({"length": "sum"}).first()[0]
+    ends = kept["packing"].where("start = 0").agg({"doc_tokens": "sum"}).first()[0]
+    assert got == ends and kept["packing"].where("start = 0").count() == kept["source_mix"].count()
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) & {q for q in entry.queries() if q.startswith("op")}))
+def test_query_equals_twin(spark, sf, name):
+    df = entry.queries()[name](spark, sf)
+    names, _, data = oracle_rows(sf, entry.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(names)
+    assert rows(df.columns, df.collect()) == rows(names, data)
+
+
+def test_eleven_queries_are_registered():
+    names = {q.split("_")[0] for q in entry.queries() if q.startswith("op") and q[2].isdigit()}
+    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
