@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import arrow_ids, bottom_k, hilbert, imatch, learned_index, mixing, packing, secret_scan, toxicity, warc
+from corpusloom.llm import (
+    arrow_ids,
+    bottom_k,
+    conversation_repair,
+    hilbert,
+    imatch,
+    learned_index,
+    mixing,
+    packing,
+    secret_scan,
+    toxicity,
+    warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -134,6 +146,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_severity(docs, model).select("doc_id", "severity", "grade", "toxic")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text's digest of every damaged conversation."""
+    turns = _table(spark, folder, "conversations")
+    return conversation_repair.repair_reports(turns, conversation_repair.damage(turns))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_learned_index": op2_learned_index,
@@ -145,6 +163,7 @@ QUERIES = {
     "op8_bottom_k": op8_bottom_k,
     "op9_arrow_ids": op9_arrow_ids,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 ORACLE: dict[str, str] = {
     "op3_warc": """
