@@ -11,6 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom.functions.vectors import unit
 from corpusloom.operators.search import (
@@ -38,9 +39,12 @@ class VectorIndex:
 
     rows: DataFrame
     centroids: np.ndarray
+    known_radii: np.ndarray | None = None
 
     def radii(self) -> np.ndarray:
         """Largest distance of a row to its centroid, per cell; -1 for an empty cell."""
+        if self.known_radii is not None:
+            return self.known_radii
         out = np.full(len(self.centroids), -1.0)
         for row in self.rows.groupBy("cell").agg(F.max("distance").alias("radius")).collect():
             out[row["cell"]] = row["radius"]
@@ -63,17 +67,10 @@ def _tiles(rows: int, cells: int) -> Iterator[slice]:
         yield slice(at, at + step)
 
 
-def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
-    """``(id, vector)`` with the nearest centroid and the distance to it."""
+def assign_cells(vectors: DataFrame, centroids: np.ndarray, name: str = "cell") -> DataFrame:
+    """All columns with the nearest centroid and the distance to it; the first of equal ones."""
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
-    schema = pa.schema(
-        [
-            ("id", pa.int64()),
-            ("vector", pa.list_(pa.float32())),
-            ("cell", pa.int64()),
-            ("distance", pa.float64()),
-        ]
-    )
+    schema = StructType([*vectors.schema.fields]).add(name, "long").add("distance", "double")
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,21 +81,20 @@ def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
                 away = _distances(rows[tile], shared.value)
                 near.append((away.argmin(axis=1), away.min(axis=1)))
             cell, distance = (np.concatenate(part) for part in zip(*near))
-            columns = [batch["id"], batch["vector"], pa.array(cell), pa.array(distance)]
-            yield pa.RecordBatch.from_arrays(
-                [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema
+            yield batch.append_column(name, pa.array(cell, pa.int64())).append_column(
+                "distance", pa.array(distance)
             )
 
-    return vectors.select("id", "vector").mapInArrow(
-        assign, "id long, vector array<float>, cell long, distance double"
-    )
+    return vectors.mapInArrow(assign, schema)
 
 
-def check_vectors(vectors: DataFrame, dim: int) -> None:
+def check_vectors(vectors: DataFrame, dim: int, unique: bool = True) -> None:
     """Fail on a repeated id or a vector of another dimension."""
     wrong = vectors.where(F.col("vector").isNull() | (F.size("vector") != dim))
     if not wrong.isEmpty():
         raise ValueError(f"vectors without dimension {dim}")
+    if not unique:
+        return
     repeated = vectors.groupBy("id").count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError("ids are not unique")
@@ -129,21 +125,24 @@ def build_index(
     cells: int = 16,
     train_on: DataFrame | None = None,
     iterations: int = 10,
+    centroids: np.ndarray | None = None,
 ) -> VectorIndex:
-    """Index ``corpus (id, embedding)``.
+    """Index ``corpus (id, embedding)`` by trained cells, or by given ``centroids``.
 
     The cells only steer which rows a search reads, so they may be trained on a
-    smaller table (``train_on``) without any effect on exact results.
+    smaller table (``train_on``) without any effect on exact results. All centroids
+    travel to every task here; ``named_index`` has two levels for more cells.
     """
-    if cells * dim * 8 > MAX_CENTROID_BYTES:
-        raise ValueError("too many cells for this dimension")
+    if (cells if centroids is None else len(centroids)) * dim * 8 > MAX_CENTROID_BYTES:
+        raise ValueError("too many cells for this dimension; use a named index")
     vectors = corpus.select("id", F.col("embedding").alias("vector"))
     check_vectors(vectors, dim)
-    training = (corpus if train_on is None else train_on).select(
-        array_to_vector(unit(F.col("embedding"))).alias("features")
-    )
-    model = KMeans(k=cells, seed=7, maxIter=iterations).fit(training)
-    centroids = np.array(model.clusterCenters())
+    if centroids is None:
+        training = stage(
+            (corpus if train_on is None else train_on).select(unit(F.col("embedding")).alias("unit")), "training"
+        )
+        features = training.select(array_to_vector("unit").alias("features"))
+        centroids = np.array(KMeans(k=cells, seed=7, maxIter=iterations).fit(features).clusterCenters())
     return VectorIndex(_store(assign_cells(vectors, centroids)), centroids)
 
 
@@ -153,7 +152,7 @@ def _probes(queries: DataFrame, cells: int, choose, extra: str | None = None) ->
     ``choose(vectors, extra column)`` gives a boolean matrix, query by cell.
     """
     schema = pa.schema(
-        [("query_id", pa.int64()), ("vector", pa.list_(pa.float32())), ("cell", pa.int64())]
+        [("query_id", pa.int64()), ("vector", pa.list_(pa.float64())), ("cell", pa.int64())]
     )
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +170,22 @@ def _probes(queries: DataFrame, cells: int, choose, extra: str | None = None) ->
                     schema=schema,
                 )
 
-    return queries.mapInArrow(probe, "query_id long, vector array<float>, cell long")
+    return queries.mapInArrow(probe, "query_id long, vector array<double>, cell long")
+
+
+def nearest_cells(queries: DataFrame, centroids: np.ndarray, nprobe: int) -> DataFrame:
+    """``(query_id, vector, cell)`` with the ``nprobe`` nearest centroids of every query."""
+    shared = queries.sparkSession.sparkContext.broadcast(centroids)
+    nprobe = min(nprobe, len(centroids))
+
+    def nearest(vectors: np.ndarray, _) -> np.ndarray:
+        away = _distances(vectors, shared.value)
+        chosen = np.argsort(away, axis=1, kind="stable")[:, :nprobe]
+        picked = np.zeros(away.shape, dtype=bool)
+        np.put_along_axis(picked, chosen, True, axis=1)
+        return picked
+
+    return _probes(queries, len(centroids), nearest)
 
 
 def knn_probed(
@@ -182,18 +196,9 @@ def knn_probed(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Approximate search: only the ``nprobe`` nearest cells of every query."""
-    shared = queries.sparkSession.sparkContext.broadcast(index.centroids)
-    nprobe = min(nprobe, len(index.centroids))
-
-    def nearest(vectors: np.ndarray, _) -> np.ndarray:
-        away = _distances(vectors, shared.value)
-        chosen = np.argsort(away, axis=1, kind="stable")[:, :nprobe]
-        picked = np.zeros(away.shape, dtype=bool)
-        np.put_along_axis(picked, chosen, True, axis=1)
-        return picked
 
     def run(asked: DataFrame) -> DataFrame:
-        probes = stage(_probes(asked, len(index.centroids), nearest), "probes")
+        probes = stage(nearest_cells(asked, index.centroids, nprobe), "probes")
         return best_k(candidates(probes, index.rows, k, broadcast_bytes), k)
 
     return each_once(queries.select("query_id", F.col("embedding").alias("vector")), run)

@@ -27,7 +27,6 @@ SCALE = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 64 * 1024 * 1024
 TILE_SCORES = 4_000_000
-LISTED_CELLS = 1000
 FOUND_BYTES = 64
 FOUND = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("points", pa.int64())])
 FOUND_DDL = "query_id long, id long, points long"
@@ -61,6 +60,8 @@ class Best:
         n = len(ids)
         if n == 0:
             return
+        if rows.shape[1] != vectors.shape[1]:
+            raise ValueError(f"vectors of dimension {rows.shape[1]}, queries of {vectors.shape[1]}")
         order = np.argsort(ids)
         ids, rows = ids[order], rows[order]
         # One integer holds score and id order, so a partial sort needs no tie rule.
@@ -114,10 +115,13 @@ def _scan(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
                     best.add(members[cell], vectors, ids[here], rows[here])
         yield pa.RecordBatch.from_arrays(best.found(query_ids), schema=FOUND)
 
-    wanted = corpus
-    if len(distinct) <= LISTED_CELLS:
-        # Reaches the scan, and prunes files when the table is laid out by cell.
-        wanted = corpus.where(F.col("cell").isin(distinct.tolist()))
+    if len(distinct) <= 1:
+        wanted = corpus.where(F.col("cell") == distinct.tolist()[0]) if len(distinct) else corpus.where("false")
+    else:
+        # As few as the queries. Prunes partitions where the table is laid out by cell; the
+        # comparison tells the optimiser that the join selects.
+        asked = queries.select("cell").distinct().where(F.col("cell") >= distinct.tolist()[0])
+        wanted = corpus.join(F.broadcast(asked), "cell", "left_semi")
     return wanted.select("id", "vector", "cell").mapInArrow(score, FOUND_DDL)
 
 
@@ -181,8 +185,12 @@ def candidates(
     ``(id, vector, cell)``.
     """
     size = queries.agg(
-        F.count("*").alias("rows"), F.max(F.size("vector")).alias("dim")
+        F.count("*").alias("rows"),
+        F.max(F.size("vector")).alias("dim"),
+        F.min(F.size("vector")).alias("least"),
     ).first()
+    if size["dim"] != size["least"]:
+        raise ValueError(f"query vectors of dimension {size['least']} and {size['dim']}")
     vector_bytes = (size["dim"] or 1) * 8
     if size["rows"] * vector_bytes <= broadcast_bytes:
         return _scan(queries, corpus, k)

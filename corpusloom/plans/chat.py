@@ -18,6 +18,7 @@ from corpusloom.functions.prompts import HISTORY_ROLES, PASSAGES
 from corpusloom.functions.text import token_count
 from corpusloom.functions.vectors import BatchEmbedder
 from corpusloom.operators.embedding import embed
+from corpusloom.operators.named_index import PROBES, NamedIndex
 from corpusloom.operators.search import knn, with_payload
 from corpusloom.session import stage
 
@@ -148,16 +149,19 @@ def search_texts(
 
 def retrieve(
     queries: DataFrame,
-    corpus: DataFrame,
+    corpus: DataFrame | NamedIndex,
     embedder: BatchEmbedder,
     dim: int,
     k: int = PASSAGES,
     where: Column | None = None,
+    nprobe: int = PROBES,
 ) -> DataFrame:
     """The k best passages ``(query_id, rank, id, url, content, score)`` per query text.
 
-    ``queries`` is ``(query_id, text)``, ``corpus`` ``(id, url, content, embedding)``.
-    Equal texts are embedded and searched once, however many queries share one.
+    ``queries`` is ``(query_id, text)``. A ``corpus (id, url, content, embedding)`` is
+    searched exactly; an index with the payload ``url, content`` is probed in ``nprobe``
+    cells, and ``where`` is over its attributes. Equal texts are embedded and searched
+    once, however many queries share one.
     """
     asked = stage(queries.select("query_id", "text", F.md5("text").alias("digest")), "asked")
     distinct = asked.groupBy("digest").agg(
@@ -165,11 +169,20 @@ def retrieve(
     )
     distinct = stage(embed(distinct, "text", embedder, dim).drop("text"), "distinct")
     vectors = distinct.select(F.col("first_id").alias("query_id"), "embedding")
-    found = knn(vectors, corpus, k, where, stored=True).withColumnRenamed("query_id", "first_id")
+    if isinstance(corpus, NamedIndex):
+        found = corpus.search(vectors, k, nprobe, where)
+    else:
+        found = knn(vectors, corpus, k, where, stored=True)
+    found = found.withColumnRenamed("query_id", "first_id")
     same = asked.select("query_id", "digest").join(
         distinct.select("digest", "first_id"), "digest"
     )
-    return with_payload(same.join(found, "first_id").drop("first_id", "digest"), corpus, "url", "content")
+    hits = same.join(found, "first_id").drop("first_id", "digest")
+    if isinstance(corpus, NamedIndex):
+        paid = corpus.with_payload(hits)
+    else:
+        paid = with_payload(hits, corpus, "url", "content")
+    return paid.select("query_id", "rank", "id", "url", "content", "score")
 
 
 def format_context(hits: DataFrame, template: str = prompts.PASSAGE_TEMPLATE) -> DataFrame:
@@ -232,19 +245,20 @@ def prompt_budget(
 
 def rag_prompts(
     messages: DataFrame,
-    corpus: DataFrame,
+    corpus: DataFrame | NamedIndex,
     embedder: BatchEmbedder,
     dim: int,
     k: int = PASSAGES,
     rewriter: Rewriter | None = None,
     last_user: bool = False,
+    nprobe: int = PROBES,
 ) -> DataFrame:
     """The whole chain up to the model call, one prompt per conversation."""
     texts = search_texts(messages, rewriter, last_user)
     queries = texts.select(
         F.col("conv_id").alias("query_id"), F.col("search_text").alias("text")
     )
-    hits = retrieve(queries, corpus, embedder, dim, k)
+    hits = retrieve(queries, corpus, embedder, dim, k, nprobe=nprobe)
     contexts = format_context(hits).withColumnRenamed("query_id", "conv_id")
     return assemble_prompts(messages, contexts, last_user)
 

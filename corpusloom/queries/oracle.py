@@ -135,6 +135,13 @@ def near_parts(queries: str, corpus: str, k: int, out: str, on: str = "TRUE"):
     ]
 
 
+GIVEN_CELLS = [
+    ("sized", "SELECT vec_id AS id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) "
+     "AS len FROM embeddings"),
+    ("centers", "SELECT row_number() OVER (ORDER BY id) - 1 AS cell, v AS c, len AS c_len FROM sized WHERE id < 496 AND id % 31 = 0"),
+    ("away", "SELECT id, cell, sqrt(greatest(0, 2 - 2 * list_dot_product(v, c) / (len * c_len))) AS distance FROM sized, centers"),
+    ("nearest", "SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, cell) AS place FROM away"),
+]
 VECTORS = ("vectors", "SELECT vec_id AS id, vec_id AS query_id, embedding AS v, label FROM embeddings")
 NEAR = "SELECT query_id, rank, id, score FROM near"
 
@@ -244,14 +251,17 @@ MERGED = (
     "SELECT l.request_id, l.user_id, l.verdict, l.suggested_output, c.passages FROM latest l FULL JOIN collected c "
     "ON l.request_id = c.request_id AND l.user_id = c.user_id",
 )
-FEEDBACK = [REQUESTS, LOG, LATEST, COLLECTED, MERGED]
-CODED = """SELECT a.request_id, r.request, r.response AS expected_response, 'thumbs_up' AS type, a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.log_id WHERE a.verdict = 'positive'
-UNION ALL SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output END, 'thumbs_down', a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.log_id WHERE a.verdict = 'negative'
-UNION ALL SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output END, 'no_feedback_provided', a.user_id
-FROM merged a JOIN requests r ON a.request_id = r.log_id
-WHERE a.verdict <> 'negative' AND a.verdict <> 'positive'"""
+# What a verdict makes of a rated row: its label, and whose text is expected. Any other
+# verdict counts as the last one.
+VERDICTS = (
+    "verdicts",
+    "SELECT unnest(['positive', 'negative', 'other']) AS kind, unnest(['model', 'editor', 'editor']) AS author, "
+    "unnest(['thumbs_up', 'thumbs_down', 'no_feedback_provided']) AS label",
+)
+CODED = """SELECT rated.request_id, request, if(author = 'model', response, nullif(suggested_output, '')) AS expected_response,
+label AS type, user_id FROM (SELECT *, if(verdict IN ('positive', 'negative'), verdict, 'other') AS kind
+FROM merged WHERE verdict IS NOT NULL) rated JOIN verdicts USING (kind) JOIN requests ON log_id = rated.request_id"""
+FEEDBACK = [REQUESTS, LOG, LATEST, COLLECTED, MERGED, VERDICTS]
 DOCUMENTED = """SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output
 WHEN a.verdict = 'positive' THEN r.response END AS expected_response,
 CASE a.verdict WHEN 'positive' THEN 'thumbs_up' WHEN 'negative' THEN 'thumbs_down' ELSE 'no_feedback_provided' END AS type, a.user_id
@@ -402,6 +412,24 @@ ORACLE = {
     + NEAR,
     "knn_within": with_clause(VECTORS, *near_parts("vectors", "vectors", 3, "near", "q.label = c.label")) + NEAR,
     "knn_pruned": with_clause(VECTORS, *near_parts("vectors", "vectors", 3, "near")) + NEAR,
+    "index_build": with_clause(*GIVEN_CELLS)
+    + "SELECT id, cell::BIGINT AS cell, round(distance, 6) + 0.0 AS distance FROM nearest WHERE place = 1",
+    "knn_ivf": with_clause(
+        *GIVEN_CELLS,
+        ("held", "SELECT s.id, s.v, n.cell FROM sized s JOIN nearest n ON s.id = n.id AND place = 1"),
+        ("asked", "SELECT s.id AS query_id, s.v, n.cell FROM sized s JOIN nearest n ON s.id = n.id AND place <= 8"),
+        *near_parts("asked", "held", 3, "near", "q.cell = c.cell"),
+    )
+    + NEAR,
+    "index_sync": f"SELECT vec_id AS id, label, {micro('embedding')} AS embedding FROM embeddings WHERE vec_id % 11 <> 0",
+    "retrieve_filtered": with_clause(
+        BENCHMARK,
+        *CORPUS,
+        ("long_enough", "SELECT corpus.* FROM corpus JOIN numbered USING (id) WHERE len(string_split(content, ' ')) >= 120"),
+        *hash_parts("texts", "query_id", "text", "asked"),
+        *near_parts("asked", "long_enough", 3, "near"),
+    )
+    + "SELECT query_id, rank, id, url, content, score FROM near JOIN numbered USING (id)",
     "retrieve_text": with_clause(BENCHMARK, *retrieval_parts("texts"))
     + "SELECT query_id, rank, id, url, content, score FROM near JOIN numbered USING (id)",
     "format_context": with_clause(BENCHMARK, *retrieval_parts("texts"), CONTEXT) + "SELECT query_id, context FROM contexts",
@@ -481,3 +509,5 @@ ORACLE = {
     + f"SELECT chunk_idx, n_tokens, md5(content) AS digest, {micro('v')} AS embedding FROM chunks JOIN embedded USING (page_id, chunk_idx)",
 }
 ORACLE["embed_stream"] = ORACLE["embed_batch"]
+ORACLE["retrieve_ann"] = ORACLE["retrieve_text"]
+ORACLE["rag_prompts_ann"] = ORACLE["rag_prompts"]

@@ -12,6 +12,7 @@ from corpusloom.functions.text import strip_prompt as without_prompt
 from corpusloom.functions.vectors import HashEmbedder
 from corpusloom.operators import chunking, evaluation, feedback, index, keys, models, search
 from corpusloom.operators.embedding import embed
+from corpusloom.operators.named_index import create_index, open_index
 from corpusloom.plans import chat
 from corpusloom.plans.corpus import CorpusJob, embedded_chunks
 from corpusloom.queries.logs import assessment_log, request_log
@@ -228,13 +229,26 @@ def _index(spark, folder):
     return stored_once(spark, folder, "index", lambda: _build(spark, folder))
 
 
+def _given_cells(spark, folder):
+    """An index over given centroids: sixteen of the vectors."""
+
+    def build():
+        vectors = _vectors(spark, folder)
+        given = vectors.where("id < 496 AND id % 31 = 0").orderBy("id").select("embedding").toArrow()
+        return index.build_index(vectors, DIM, centroids=search.matrix(given["embedding"]))
+
+    return stored_once(spark, folder, "given cells", build)
+
+
 def index_build(spark, folder):
-    return _build(spark, folder).rows.select("id", "cell", F.round("distance", 6).alias("distance"))
+    rows = _given_cells(spark, folder).rows
+    return rows.select("id", "cell", F.round("distance", 6).alias("distance"))
 
 
 def knn_ivf(spark, folder):
+    """The nearest vectors in the eight nearest cells."""
     vectors = _vectors(spark, folder)
-    return index.knn_probed(_as_queries(vectors), _index(spark, folder), 3, nprobe=8)
+    return index.knn_probed(_as_queries(vectors), _given_cells(spark, folder), 3, nprobe=8)
 
 
 def knn_pruned(spark, folder):
@@ -247,6 +261,47 @@ def retrieve_text(spark, folder):
     return chat.retrieve(_queries(spark, folder), corpus(spark, folder), EMBEDDER, DIM)
 
 
+ALL_CELLS = 1 << 40
+
+
+def _named(spark, folder):
+    """The corpus as an index that later steps open by its name."""
+
+    def build():
+        root = new_path(spark, "indexes")
+        create_index(root, "passages", corpus(spark, folder), DIM, ["n_tokens"], ["url", "content"], rows_per_cell=50)
+        return root
+
+    return open_index(spark, stored_once(spark, folder, "named", build), "passages")
+
+
+def retrieve_ann(spark, folder):
+    """Through the index, all cells probed, which must equal exact search."""
+    return chat.retrieve(_queries(spark, folder), _named(spark, folder), EMBEDDER, DIM, nprobe=ALL_CELLS)
+
+
+def retrieve_filtered(spark, folder):
+    """Through the index, among passages of some length only."""
+    long_enough = F.col("n_tokens") >= 120
+    return chat.retrieve(
+        _queries(spark, folder), _named(spark, folder), EMBEDDER, DIM, where=long_enough, nprobe=ALL_CELLS
+    )
+
+
+def index_sync(spark, folder):
+    """An index of some old vectors, brought up to date, merged and opened again."""
+    vectors = _vectors(spark, folder)
+    turned = F.when(F.col("id") % 5 == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
+    old = vectors.where("id % 7 <> 0").withColumn("embedding", turned)
+    new = vectors.where("id % 11 <> 0")
+    root = new_path(spark, "indexes")
+    create_index(root, "vectors", old, DIM, ["label"], rows_per_cell=25)
+    diff = index.index_diff(old, new, "id", "embedding", "label")
+    open_index(spark, root, "vectors").sync(diff, mark="first")
+    open_index(spark, root, "vectors").sync(diff, mark="first").merge()
+    return open_index(spark, root, "vectors").table().select("id", "label", micro("embedding").alias("embedding"))
+
+
 def format_context(spark, folder):
     return chat.format_context(retrieve_text(spark, folder))
 
@@ -321,6 +376,11 @@ def rag_prompts(spark, folder):
     return chat.rag_prompts(_turns(spark, folder), corpus(spark, folder), EMBEDDER, DIM)
 
 
+def rag_prompts_ann(spark, folder):
+    """The chain over the index, all cells probed."""
+    return chat.rag_prompts(_turns(spark, folder), _named(spark, folder), EMBEDDER, DIM, nprobe=ALL_CELLS)
+
+
 def echo_generator():
     """Stand-in model: repeats the prompt, then answers with its first words."""
 
@@ -589,6 +649,9 @@ QUERIES = {
         knn_ivf,
         knn_pruned,
         retrieve_text,
+        retrieve_ann,
+        retrieve_filtered,
+        index_sync,
         format_context,
         assign_ids,
         append_new_chunks,
@@ -598,6 +661,7 @@ QUERIES = {
         assemble_prompt,
         prompt_budget,
         rag_prompts,
+        rag_prompts_ann,
         rag_answers,
         instruct_prompt,
         strip_prompt,
