@@ -373,6 +373,19 @@ class NamedIndex:
             settings["marks"] = [*self.settings["marks"], mark][-1000:]
         return self._commit(settings, self.live + dead + added + payload)
 
+    def size(self) -> int:
+        """Rows listed, dead ones less, by the manifest."""
+        count = {kind: sum(r["rows"] for r in self.live if r["kind"] == kind) for kind in ("rows", "dead")}
+        return count["rows"] - count["dead"]
+
+    def retrained(self, rows_per_cell: int = ROWS_PER_CELL) -> NamedIndex:
+        """The same table under cells trained on it as it is now, as a new generation."""
+        root, _, name = self.home.rpartition("/")
+        return create_index(
+            root, name, self.table(), self.dim, self._columns("attributes"), self._columns("payload"),
+            rows_per_cell, self.settings["marks"],
+        )
+
     def merge(self, all_cells: bool = False) -> NamedIndex:
         """Rewrite coarse cells that have several segments or dead rows, and only those."""
         parts: dict[int, int] = {}
@@ -406,6 +419,7 @@ def create_index(
     attributes: list[str] | None = None,
     payload: list[str] | None = None,
     rows_per_cell: int = ROWS_PER_CELL,
+    marks: list[str] | None = None,
 ) -> NamedIndex:
     """Index ``corpus (id, embedding, attributes, payload)`` under a name.
 
@@ -427,7 +441,8 @@ def create_index(
     before = _newest(spark, home)
     segment = 1 + (before.settings["segments"] if before else 0)
     settings = {
-        "dim": dim, "attributes": ddl(attributes), "payload": ddl(payload), "build": segment, "segments": segment, "marks": [],
+        "dim": dim, "attributes": ddl(attributes), "payload": ddl(payload), "build": segment, "segments": segment,
+        "marks": marks or [], "trained_on": rows,
     }
     index = NamedIndex(spark, home, before.generation if before else 0, settings, [])
     if rows:
@@ -472,6 +487,10 @@ def _newest(spark: SparkSession, home: str) -> NamedIndex | None:
     return NamedIndex(spark, home, generation, settings[0], live)
 
 
+def index_exists(spark: SparkSession, root: str, name: str) -> bool:
+    return _newest(spark, index_home(root, name)) is not None
+
+
 def open_index(spark: SparkSession, root: str, name: str) -> NamedIndex:
     """The newest generation of an index, in any session."""
     found = _newest(spark, index_home(root, name))

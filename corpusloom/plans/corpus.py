@@ -15,7 +15,7 @@ from corpusloom.operators.embedding import embed
 from corpusloom.operators.keys import assign_ids, digits_for, new_rows
 from corpusloom.operators.models import Parser, extract_text, parsed, quarantined
 from corpusloom.session import arrow_batch, spread, stage
-from corpusloom.sources.files import binary_files, table_stream
+from corpusloom.sources.files import BINARY_FILE, binary_files, table_stream
 from corpusloom.streaming.drain import drain
 
 # Chunk size, overlap, and files per Arrow batch while parsing.
@@ -24,6 +24,15 @@ CHUNK_OVERLAP = 10
 FILES_PER_BATCH = 10
 
 KEY = ["url", "chunk_idx"]
+CHUNKS = "url string, chunk_idx long, content string, n_tokens long"
+# What every stage holds, whether or not it has rows yet.
+STAGES = {
+    "raw": BINARY_FILE,
+    "extracted": "path string, modificationTime timestamp, length long, text string, error string",
+    "chunks": CHUNKS,
+    "embedded": f"{CHUNKS}, embedding array<float>",
+    "published": f"id long, {CHUNKS}, embedding array<float>",
+}
 
 
 def embedded_chunks(
@@ -66,7 +75,7 @@ class CorpusJob:
         return f"{self.home}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(name))
+        return self.spark.read.schema(STAGES[name]).parquet(self._path(name))
 
     def _drain(self, stream: DataFrame, name: str) -> None:
         drain(stream, self._path(f"progress/{name}"), path=self._path(name))
@@ -87,7 +96,7 @@ class CorpusJob:
         self._drain(embed(self._stream("chunks"), "content", self.embedder, self.dim), "embedded")
 
     def _stream(self, name: str) -> DataFrame:
-        return table_stream(self.spark, self._path(name), self.read(name).schema)
+        return table_stream(self.spark, self._path(name), STAGES[name])
 
     def failed(self) -> DataFrame:
         return quarantined(self.read("extracted"))

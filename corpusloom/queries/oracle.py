@@ -501,6 +501,18 @@ ORACLE = {
     + "SELECT type, metric, n.value AS current_value, t.value AS previous_value, round(n.value - t.value, 6) AS delta, "
     "coalesce(round(n.value - t.value, 6) < 0, FALSE) AS regressed FROM now_ n FULL JOIN then_ t USING (type, metric)",
     "ingest_files": "SELECT octet_length(encode(html)) + 1 AS length, md5(html || chr(10)) AS digest FROM pages",
+    "published_view": "SELECT lang, count(*) AS documents, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang",
+    "corpus_changes": with_clause(
+        (
+            "landed",
+            "SELECT page_id % 50 AS part, string_agg(CASE WHEN page_id % 50 % 3 = 0 THEN replace(html, 'e', 'o') ELSE html END, "
+            "chr(10) ORDER BY page_id) AS html FROM pages GROUP BY 1",
+        ),
+        ("source", f"SELECT part, {LINES.format('html')} AS text FROM landed"),
+        *chunk_parts("source", "part"),
+        *hash_parts("chunks", "part, chunk_idx", "content", "embedded"),
+    )
+    + f"SELECT chunk_idx, n_tokens, md5(content) AS digest, {micro('v')} AS embedding FROM chunks JOIN embedded USING (part, chunk_idx)",
     "corpus_to_index": with_clause(
         ("source", f"SELECT page_id, {LINES.format('html')} AS text FROM pages"),
         *chunk_parts("source", "page_id"),
@@ -511,3 +523,4 @@ ORACLE = {
 ORACLE["embed_stream"] = ORACLE["embed_batch"]
 ORACLE["retrieve_ann"] = ORACLE["retrieve_text"]
 ORACLE["rag_prompts_ann"] = ORACLE["rag_prompts"]
+ORACLE["stream_table"] = ORACLE["clean_text"]

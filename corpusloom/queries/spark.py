@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,11 @@ from corpusloom.operators.embedding import embed
 from corpusloom.operators.named_index import create_index, open_index
 from corpusloom.plans import chat
 from corpusloom.plans.corpus import CorpusJob, embedded_chunks
+from corpusloom.plans.feed import CorpusFeed
 from corpusloom.queries.logs import assessment_log, request_log
-from corpusloom.session import new_path, require_rows, spread, stage
+from corpusloom.session import new_path, publish_views, require_rows, spread, stage, table_exists
 from corpusloom.sources import web
-from corpusloom.sources.files import binary_files, table, table_stream
+from corpusloom.sources.files import binary_files, catalog_stream, table, table_stream
 from corpusloom.streaming.drain import drain
 
 DIM = 64
@@ -600,6 +603,48 @@ def embed_stream(spark, folder):
     )
 
 
+def stream_table(spark, folder):
+    """Texts from a catalog table to a catalog table, in batches of two of its files."""
+    name = f"texts_{uuid.uuid4().hex}"
+    texts = documents(spark, folder).select("doc_id", "text").repartition(5)
+    texts.write.option("path", new_path(spark, "texts")).saveAsTable(name)
+    stream = catalog_stream(spark, name, files_per_batch=2)
+    cleaned = stream.select("doc_id", clean(F.col("text")).alias("text"))
+    drain(cleaned, new_path(spark, "progress"), new_path(spark, "cleaned"), f"cleaned_{name}")
+    return spark.table(f"cleaned_{name}")
+
+
+def corpus_changes(spark, folder):
+    """Files of pages through the feed to the index, before and after a third of them change."""
+    landing = new_path(spark, "landing")
+    pages = table(spark, folder, "pages").select("page_id", "html", (F.col("page_id") % 50).alias("part"))
+
+    def land(rows, mode):
+        ordered = rows.repartition("part").sortWithinPartitions("part", "page_id").drop("page_id")
+        ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("part").text(landing)
+
+    feed = CorpusFeed(
+        spark, landing, new_path(spark, "feed"), html_parser, EMBEDDER, DIM, glob="*.txt", batch_files=40,
+        rows_per_cell=50,
+    )
+    land(pages, "overwrite")
+    feed.run()
+    land(pages.where("part % 3 = 0").withColumn("html", F.replace("html", F.lit("e"), F.lit("o"))), "overwrite")
+    rows = feed.run().table()
+    return rows.select(
+        "chunk_idx", "n_tokens", F.md5("content").alias("digest"), micro("embedding").alias("embedding")
+    )
+
+
+def published_view(spark, folder):
+    """Rows per language, counted by SQL over a frame that was published under a name."""
+    name = f"documents_{uuid.uuid4().hex}"
+    publish_views(**{name: documents(spark, folder)})
+    if not table_exists(spark, name) or table_exists(spark, f"no_{name}"):
+        raise RuntimeError("the catalog does not know its views")
+    return spark.sql(f"SELECT lang, count(*) AS documents, sum(n_chars) AS chars FROM {name} GROUP BY lang")
+
+
 def html_parser():
     def parse(content: bytes) -> list[str]:
         return content.decode("utf-8").split("\n")
@@ -678,6 +723,9 @@ QUERIES = {
         eval_compare,
         ingest_files,
         embed_stream,
+        stream_table,
+        published_view,
         corpus_to_index,
+        corpus_changes,
     )
 }

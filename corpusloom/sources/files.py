@@ -29,6 +29,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """Stream of a parquet table, rows added since the last run only."""
-    return spark.readStream.schema(schema).parquet(folder)
+def _bounded(reader, files_per_batch: int | None, bytes_per_batch: int | None):
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    return reader
+
+
+def table_stream(
+    spark: SparkSession,
+    folder: str,
+    schema,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+) -> DataFrame:
+    """Stream of a parquet folder, rows added since the last run only.
+
+    A backlog is taken in batches of so many files, or of about so many bytes.
+    """
+    reader = _bounded(spark.readStream.schema(schema), files_per_batch, bytes_per_batch)
+    return reader.parquet(folder)
+
+
+def catalog_stream(
+    spark: SparkSession,
+    name: str,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+) -> DataFrame:
+    """Stream of a table of the catalog, by its name, as ``table_stream``."""
+    return _bounded(spark.readStream, files_per_batch, bytes_per_batch).table(name)
