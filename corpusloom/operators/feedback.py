@@ -19,9 +19,6 @@ POSITIVE, NEGATIVE = "positive", "negative"
 THUMBS_UP, THUMBS_DOWN = "thumbs_up", "thumbs_down"
 NO_FEEDBACK = "no_feedback_provided"
 
-# Entries per collected list; a longer one goes on in a further row.
-LIST_ENTRIES = 1000
-
 
 def latest_text_assessment(
     log: DataFrame, tie_break: str, keys: tuple[str, ...] = ("request_id",)
@@ -40,16 +37,14 @@ def latest_text_assessment(
     )
 
 
-def collect_retrieval(log: DataFrame, entries: int = LIST_ENTRIES) -> DataFrame:
-    """Retrieval assessments per (request, user, step) as sorted lists.
+def collect_retrieval(log: DataFrame) -> DataFrame:
+    """Distinct retrieval assessments per (request, user, step), each with its count.
 
-    Equal assessments are counted before anything is gathered, so a hot group
-    shrinks to its distinct entries on the map side. A list entry is the
-    assessment and its count; a list of more than ``entries`` goes on in rows
-    with ``list_no`` 1, 2, ...
+    ``(request_id, user_id, step_id, assessment, n, timestamp, source)``. They are rows at
+    every size: equal assessments are counted on the map side, so a hot group shrinks
+    to its distinct entries and none is gathered. Callers fold what they need.
     """
-    group = ["request_id", "user_id", "step_id"]
-    counted = (
+    return (
         log.where(F.col("retrieval_assessment").isNotNull())
         .groupBy(
             "request_id",
@@ -63,46 +58,46 @@ def collect_retrieval(log: DataFrame, entries: int = LIST_ENTRIES) -> DataFrame:
             F.min("source").alias("source"),
         )
     )
-    position = F.row_number().over(Window.partitionBy(*group).orderBy("assessment"))
-    return (
-        counted.withColumn("list_no", F.floor((position - 1) / entries))
-        .groupBy(*group, "list_no")
-        .agg(
-            F.max("timestamp").alias("timestamp"),
-            F.min("source").alias("source"),
-            F.sort_array(F.collect_list(F.struct("assessment", "n"))).alias(
-                "retrieval_assessments"
-            ),
-        )
+
+
+def retrieval_steps(collected: DataFrame) -> DataFrame:
+    """A row per (request, user, step) with the numbers of its assessments."""
+    return collected.groupBy("request_id", "user_id", "step_id").agg(
+        F.sum("n").alias("n_assessments"),
+        F.count("*").alias("n_distinct"),
+        F.max("timestamp").alias("timestamp"),
+        F.min("source").alias("source"),
     )
 
 
 def merge_assessments(
     latest: DataFrame, collected: DataFrame, keep_retrieval_only: bool = False
 ) -> DataFrame:
-    """Full join of text and retrieval feedback on request and user.
+    """Full join of text feedback and steps of retrieval feedback on request and user.
 
     A user's retrieval-only feedback keeps its row but has no request id, unless
-    ``keep_retrieval_only`` fills it in. Several steps give several rows.
+    ``keep_retrieval_only`` fills it in. Several steps give several rows; ``step_id``
+    leads to the collected assessments.
     """
     columns = latest.columns
     one = latest.withColumn("_request", F.col("request_id")).withColumn(
         "_user", F.col("source.id")
     )
-    many = collected.select(
+    many = retrieval_steps(collected).select(
         F.col("request_id").alias("_request"),
         F.col("user_id").alias("_user"),
         F.col("request_id").alias("request_id2"),
         F.col("source").alias("source2"),
-        "list_no",
-        "retrieval_assessments",
+        "step_id",
+        "n_assessments",
+        "n_distinct",
     )
     merged = full_join_many(one, many, ["_request", "_user"])
     if keep_retrieval_only:
         merged = merged.withColumn(
             "request_id", F.coalesce("request_id", "request_id2")
         ).withColumn("source", F.coalesce("source", "source2"))
-    return merged.select(*columns, "retrieval_assessments", "list_no")
+    return merged.select(*columns, "step_id", "n_assessments", "n_distinct")
 
 
 def requests_with_feedback(requests: DataFrame, merged: DataFrame, key: str = "log_id") -> DataFrame:
@@ -118,10 +113,8 @@ def verdict(assessment: Column) -> Column:
 
 
 def _judged(requests: DataFrame, merged: DataFrame, key: str) -> DataFrame:
-    """Rated feedback rows with request and response; one row per list start."""
-    rated = merged.where(
-        verdict(F.col("text_assessment")).isNotNull() & (F.coalesce("list_no", F.lit(0)) == 0)
-    ).select(
+    """Rated feedback rows with request and response."""
+    rated = merged.where(verdict(F.col("text_assessment")).isNotNull()).select(
         "request_id",
         F.col("source.id").alias("user_id"),
         verdict(F.col("text_assessment")).alias("verdict"),

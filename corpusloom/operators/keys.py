@@ -24,12 +24,14 @@ def assign_ids(
 ) -> DataFrame:
     """Add contiguous unique ids, following those of ``existing``.
 
-    Rows are numbered inside hash buckets of their unique key, and every bucket
-    starts where the ones before it end. No sort runs over the whole table, the
-    buckets are even however the keys are spread, and a rerun gives equal ids.
+    Ids follow the MD5 of the unique key. Rows are numbered inside buckets of its first
+    digits, and every bucket starts where the ones before it end. No sort runs over the
+    whole table, the buckets are even however the keys are spread, and neither a rerun nor
+    another number of digits gives other ids.
     """
     key = F.concat_ws("\x01", *[F.col(c).cast("string") for c in keys])
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(key), 1, hex_digits))
+    hashed = df.withColumn("_digest", F.md5(key))
+    bucketed = hashed.withColumn("_bucket", F.substring("_digest", 1, hex_digits))
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     # One row per bucket, 16 ** hex_digits at most.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -39,7 +41,7 @@ def assign_ids(
     if existing is not None:
         top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
         offsets = offsets.withColumn("_offset", F.col("_offset") + top)
-    inside = Window.partitionBy("_bucket").orderBy(*keys)
+    inside = Window.partitionBy("_bucket").orderBy("_digest", *keys)
     return (
         bucketed.withColumn("_number", F.row_number().over(inside))
         .join(F.broadcast(offsets), "_bucket")

@@ -152,7 +152,7 @@ NUMBERED = [
     *chunk_parts("addressed", "url"),
     (
         "numbered",
-        "SELECT row_number() OVER (ORDER BY substr(md5(url || chr(1) || chunk_idx), 1, 3), url, chunk_idx) AS id, "
+        "SELECT row_number() OVER (ORDER BY md5(url || chr(1) || chunk_idx), url, chunk_idx) AS id, "
         "url, chunk_idx, content FROM chunks",
     ),
 ]
@@ -242,13 +242,16 @@ LATEST = (
 )
 COLLECTED = (
     "collected",
-    "SELECT request_id, user_id, step_id, max(ts) AS ts, string_agg(doc_uri || ':' || passage_verdict || ':' || n, ',' "
-    "ORDER BY doc_uri, passage_verdict) AS passages FROM (SELECT request_id, user_id, step_id, doc_uri, passage_verdict, "
-    "count(*) AS n, max(ts) AS ts FROM log WHERE passage_verdict IS NOT NULL GROUP BY ALL) GROUP BY ALL",
+    "SELECT request_id, user_id, step_id, doc_uri, passage_verdict AS value, count(*) AS n, max(ts) AS ts "
+    "FROM log WHERE passage_verdict IS NOT NULL GROUP BY ALL",
+)
+STEPS = (
+    "steps",
+    "SELECT request_id, user_id, step_id, sum(n)::BIGINT AS n_assessments, count(*) AS n_distinct FROM collected GROUP BY ALL",
 )
 MERGED = (
     "merged",
-    "SELECT l.request_id, l.user_id, l.verdict, l.suggested_output, c.passages FROM latest l FULL JOIN collected c "
+    "SELECT l.request_id, l.user_id, l.verdict, l.suggested_output, c.step_id, c.n_assessments, c.n_distinct FROM latest l FULL JOIN steps c "
     "ON l.request_id = c.request_id AND l.user_id = c.user_id",
 )
 # What a verdict makes of a rated row: its label, and whose text is expected. Any other
@@ -261,7 +264,7 @@ VERDICTS = (
 CODED = """SELECT rated.request_id, request, if(author = 'model', response, nullif(suggested_output, '')) AS expected_response,
 label AS type, user_id FROM (SELECT *, if(verdict IN ('positive', 'negative'), verdict, 'other') AS kind
 FROM merged WHERE verdict IS NOT NULL) rated JOIN verdicts USING (kind) JOIN requests ON log_id = rated.request_id"""
-FEEDBACK = [REQUESTS, LOG, LATEST, COLLECTED, MERGED, VERDICTS]
+FEEDBACK = [REQUESTS, LOG, LATEST, COLLECTED, STEPS, MERGED, VERDICTS]
 DOCUMENTED = """SELECT a.request_id, r.request, CASE WHEN a.suggested_output <> '' THEN a.suggested_output
 WHEN a.verdict = 'positive' THEN r.response END AS expected_response,
 CASE a.verdict WHEN 'positive' THEN 'thumbs_up' WHEN 'negative' THEN 'thumbs_down' ELSE 'no_feedback_provided' END AS type, a.user_id
@@ -285,7 +288,7 @@ def metric_parts(run: str, near: str, answers: str):
         (f"{run}_answers", answers),
         (
             f"{run}_pairs",
-            f"SELECT DISTINCT request_id, expected_response, answer FROM coded JOIN {run}_answers USING (request_id) "
+            f"SELECT DISTINCT request_id, expected_response, answer FROM coded LEFT JOIN {run}_answers USING (request_id) "
             "WHERE expected_response IS NOT NULL",
         ),
         (
@@ -306,7 +309,7 @@ def metric_parts(run: str, near: str, answers: str):
         ),
         (
             f"{run}_scores",
-            f"SELECT request_id, expected_response, (answer = expected_response)::INT::DOUBLE AS exact_match, "
+            f"SELECT request_id, expected_response, coalesce(answer = expected_response, FALSE)::INT::DOUBLE AS exact_match, "
             f"coalesce(f1, 0.0) AS token_f1 FROM {run}_pairs LEFT JOIN {run}_overlap "
             "USING (request_id, expected_response)",
         ),
@@ -480,12 +483,11 @@ ORACLE = {
     + "SELECT request_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, verdict, suggested_output, "
     "'1' AS schema_version FROM latest",
     "collect_retrieval": with_clause(LOG, COLLECTED)
-    + "SELECT request_id, user_id, step_id, 0::BIGINT AS list_no, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, passages "
-    "FROM collected",
-    "merge_assessments": with_clause(LOG, LATEST, COLLECTED, MERGED)
-    + "SELECT request_id, user_id, verdict, passages FROM merged",
+    + "SELECT request_id, user_id, step_id, doc_uri, value, n, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp FROM collected",
+    "merge_assessments": with_clause(LOG, LATEST, COLLECTED, STEPS, MERGED)
+    + "SELECT request_id, user_id, verdict, step_id, n_assessments, n_distinct FROM merged",
     "requests_with_feedback": with_clause(*FEEDBACK)
-    + "SELECT log_id, request, request_id, user_id, verdict, passages FROM requests LEFT JOIN merged "
+    + "SELECT log_id, request, request_id, user_id, verdict, step_id, n_assessments, n_distinct FROM requests LEFT JOIN merged "
     "ON log_id = request_id",
     "eval_set_as_coded": with_clause(*FEEDBACK) + CODED,
     "eval_set_documented": with_clause(*FEEDBACK) + DOCUMENTED,
@@ -499,7 +501,7 @@ ORACLE = {
         *EVALUATED, *metric_parts("now_", "near", BEST_PASSAGE), *metric_parts("then_", "near_first", LOGGED)
     )
     + "SELECT type, metric, n.value AS current_value, t.value AS previous_value, round(n.value - t.value, 6) AS delta, "
-    "coalesce(round(n.value - t.value, 6) < 0, FALSE) AS regressed FROM now_ n FULL JOIN then_ t USING (type, metric)",
+    "coalesce(metric <> 'rows' AND round(n.value - t.value, 6) < 0, FALSE) AS regressed FROM now_ n FULL JOIN then_ t USING (type, metric)",
     "ingest_files": "SELECT octet_length(encode(html)) + 1 AS length, md5(html || chr(10)) AS digest FROM pages",
     "published_view": "SELECT lang, count(*) AS documents, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang",
     "corpus_changes": with_clause(

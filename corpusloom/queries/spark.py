@@ -208,14 +208,11 @@ def knn_exact(spark, folder):
 
 def knn_filtered(spark, folder):
     """Benchmark texts against documents labelled good and harmless only."""
-    labels = table(spark, folder, "labels")
-    texts = documents(spark, folder).join(labels, "doc_id")
-    vectors = stage(embed(spread(texts), "text", EMBEDDER, DIM), "vectors").withColumnRenamed(
-        "doc_id", "id"
-    )
+    allowed = table(spark, folder, "labels").where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    texts = spread(documents(spark, folder).select("doc_id", "text")).join(allowed, "doc_id", "left_semi")
+    vectors = stage(embed(texts, "text", EMBEDDER, DIM), "vectors").withColumnRenamed("doc_id", "id")
     queries = embed(_queries(spark, folder), "text", EMBEDDER, DIM)
-    allowed = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    return search.knn(queries, vectors, 3, where=allowed)
+    return search.knn(queries, vectors, 3)
 
 
 def knn_within(spark, folder):
@@ -438,16 +435,6 @@ def generate_batch(spark, folder):
 # Feedback and evaluation
 
 
-def _list_text() -> Column:
-    entries = F.transform(
-        "retrieval_assessments",
-        lambda e: F.concat_ws(
-            ":", e["assessment"]["doc_uri"], e["assessment"]["value"], e["n"].cast("string")
-        ),
-    )
-    return F.array_join(entries, ",")
-
-
 def _stamp(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
 
@@ -477,7 +464,7 @@ def dedup_latest(spark, folder):
 
 def collect_retrieval(spark, folder):
     return _collected(spark, folder).select(
-        "request_id", "user_id", "step_id", "list_no", _stamp("timestamp"), _list_text().alias("passages")
+        "request_id", "user_id", "step_id", "assessment.doc_uri", "assessment.value", "n", _stamp("timestamp")
     )
 
 
@@ -486,7 +473,9 @@ def merge_assessments(spark, folder):
         "request_id",
         F.col("source.id").alias("user_id"),
         feedback.verdict(F.col("text_assessment")).alias("verdict"),
-        _list_text().alias("passages"),
+        "step_id",
+        "n_assessments",
+        "n_distinct",
     )
 
 
@@ -500,7 +489,9 @@ def requests_with_feedback(spark, folder):
         "request_id",
         F.col("source.id").alias("user_id"),
         feedback.verdict(F.col("text_assessment")).alias("verdict"),
-        _list_text().alias("passages"),
+        "step_id",
+        "n_assessments",
+        "n_distinct",
     )
 
 

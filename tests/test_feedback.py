@@ -72,24 +72,23 @@ def test_latest_assessment_is_per_request_with_tie_break(log):
     assert both.where("request_id = 'r1'").count() == 2
 
 
-def test_collected_lists_keep_repeats_as_counts(log):
+def test_collected_assessments_keep_repeats_as_counts(log):
     rows = fb.collect_retrieval(log).where("request_id = 'r1' and user_id = 'b' and step_id = 's0'")
-    lists = [[(e.assessment.doc_uri, e.assessment.value, e.n) for e in r.retrieval_assessments]
-             for r in rows.collect()]
-    assert lists == [[("d0", "negative", 1), ("d1", "positive", 2)]]
+    got = sorted((r.assessment.doc_uri, r.assessment.value, r.n) for r in rows.collect())
+    assert got == [("d0", "negative", 1), ("d1", "positive", 2)]
 
 
-def test_long_lists_go_on_in_further_rows(spark, requests):
-    rows = [passage("r1", "a", "s0", f"d{i:03}") for i in range(25)] * 3 + [text("r1", "a", 1, "positive")]
+@pytest.mark.parametrize("many", [3, 2500])
+def test_row_counts_do_not_depend_on_the_size_of_a_step(spark, requests, many):
+    rows = [passage("r1", "a", "s0", f"d{i:05}") for i in range(many)] * 2 + [text("r1", "a", 1, "positive")]
     log = spark.createDataFrame(rows, LOG)
-    parts = fb.collect_retrieval(log, entries=10).orderBy("list_no").collect()
-    assert [(r.list_no, len(r.retrieval_assessments)) for r in parts] == [(0, 10), (1, 10), (2, 5)]
-    assert {e.n for r in parts for e in r.retrieval_assessments} == {3}
-    merged = fb.merge_assessments(
-        fb.latest_text_assessment(log, "event_id"), fb.collect_retrieval(log, entries=10)
-    )
-    # A list in three rows is still one step, so the evaluation set has one row.
-    assert merged.count() == 3 and fb.eval_set(requests, merged).count() == 1
+    collected = fb.collect_retrieval(log)
+    assert collected.count() == many and {r.n for r in collected.select("n").collect()} == {2}
+    merged = fb.merge_assessments(fb.latest_text_assessment(log, "event_id"), collected)
+    # One step is one row of feedback and one of the evaluation set.
+    assert [(r.step_id, r.n_assessments, r.n_distinct) for r in merged.collect()] == [("s0", 2 * many, many)]
+    assert fb.requests_with_feedback(requests, merged).count() == len(REQUESTS)
+    assert fb.eval_set(requests, merged).count() == 1
 
 
 def test_merge_loses_the_id_of_retrieval_only_feedback(log, merged):
@@ -189,6 +188,22 @@ def test_metrics_by_hand(spark):
     assert got["thumbs_down", "exact_match"] is None
 
 
+def test_a_request_without_an_answer_scores_nothing(spark):
+    evaluation = spark.createDataFrame(
+        [("r1", "q", "a fox", "t", "a"), ("r2", "q", "b", "t", "a")],
+        "request_id string, request string, expected_response string, type string, user_id string",
+    )
+    answers = spark.createDataFrame([("r1", "a fox")], "request_id string, answer string")
+    none = spark.createDataFrame([], "request_id string, doc_uri string")
+    got = {r.metric: r.value for r in ev.eval_metrics(evaluation, answers, none, none).collect()}
+    assert got["exact_match"] == 0.5 and got["token_f1"] == 0.5 and got["recall_at_k"] is None
+
+
+def test_fewer_rows_are_no_regression(spark):
+    runs = [spark.createDataFrame([("t", "rows", n)], "type string, metric string, value double") for n in (3.0, 5.0)]
+    assert [(r.delta, r.regressed) for r in ev.eval_compare(*runs).collect()] == [(-2.0, False)]
+
+
 def test_compare_flags_regressions(spark):
     def run(*rows):
         return spark.createDataFrame(rows, "type string, metric string, value double")

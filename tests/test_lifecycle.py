@@ -86,6 +86,14 @@ def test_ids_are_contiguous_and_repeatable(spark, digits):
     assert c.agg(F.min("id")).first()[0] == 1001
 
 
+def test_ids_do_not_depend_on_the_number_of_buckets(spark):
+    rows = spark.range(300).selectExpr("concat('u', id % 40) as url", "id div 40 as chunk_idx")
+    ids = [
+        sorted(map(tuple, assign_ids(rows, ["url", "chunk_idx"], hex_digits=d).collect())) for d in (1, 3, 4, 5)
+    ]
+    assert ids[0] == ids[1] == ids[2] == ids[3]
+
+
 def test_bucket_digits_follow_the_size():
     assert [digits_for(n) for n in (0, 10**9, 10**10, 10**12)] == [3, 3, 4, 5]
 
