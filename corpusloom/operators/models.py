@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from corpusloom.functions.prompts import DEFAULT_NEW_TOKENS, DEFAULT_TEMPERATURE
 from corpusloom.functions.text import join_pages
 
 Parser = Callable[[bytes], Sequence[str]]
 Generator = Callable[[pd.DataFrame], Sequence[str]]
+# Reads the pieces of one prompt and gives its answer.
+StreamGenerator = Callable[[Iterator[str], dict], str]
 
 
 def extract_text(
@@ -54,6 +60,43 @@ def quarantined(extracted: DataFrame) -> DataFrame:
     return extracted.where(F.col("error").isNotNull()).drop("text")
 
 
+def generate_streamed(
+    pieces: DataFrame,
+    key: str,
+    order: str,
+    make_generator: Callable[[], StreamGenerator],
+    out: str = "output",
+) -> DataFrame:
+    """``(key, out)``: one model call per key over its ordered pieces ``(key, order, text)``.
+
+    The generator gets an iterator of texts, which it may read as far as it likes, and the
+    key's ``temperature`` and ``max_new_tokens``: its first piece's columns of these names, or the
+    defaults. Pieces pass by in order, so a call may span many Arrow batches and a
+    prompt never has to fit one value.
+    """
+    given = {"temperature": ("double", DEFAULT_TEMPERATURE), "max_new_tokens": ("long", DEFAULT_NEW_TOKENS)}
+    settings = [
+        F.coalesce((F.col(n) if n in pieces.columns else F.lit(None)).cast(kind), F.lit(fallback).cast(kind)).alias(n)
+        for n, (kind, fallback) in given.items()
+    ]
+    streamed = (
+        pieces.select(key, order, "text", *settings).repartition(key).sortWithinPartitions(key, order)
+    )
+    schema = pa.schema([pa.field(key, to_arrow_type(pieces.schema[key].dataType)), pa.field(out, pa.string())])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        generator = make_generator()
+        rows = (row for batch in batches for row in zip(*(batch[n].to_pylist() for n in (key, "text", *given))))
+        for name, group in itertools.groupby(rows, key=lambda row: row[0]):
+            _, first, temperature, limit = next(group)
+            texts = itertools.chain([first], (row[1] for row in group))
+            request = {"temperature": temperature, "max_new_tokens": limit}
+            reply = generator((t for t in texts if t is not None), request)
+            yield pa.RecordBatch.from_arrays([pa.array([name], schema[0].type), pa.array([reply], pa.string())], schema=schema)
+
+    return streamed.mapInArrow(answer, StructType([pieces.schema[key]]).add(out, "string"))
+
+
 def generate(
     df: DataFrame,
     make_generator: Callable[[], Generator],

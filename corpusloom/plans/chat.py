@@ -3,7 +3,7 @@
 A conversation is rows of ``(conv_id, turn, role, text)``. Prompts stay rows of
 messages as well: a conversation of any length passes through without being
 gathered in one task. Text is folded into one string only in pieces of some
-turns, or where its size has been summed up first.
+turns, and a model call reads the pieces of its prompt one after the other.
 """
 
 from __future__ import annotations
@@ -14,18 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import prompts
-from corpusloom.functions.prompts import HISTORY_ROLES, PASSAGES
+from corpusloom.functions.prompts import HISTORY_ROLES, PASSAGES, PromptTexts
 from corpusloom.functions.text import token_count
 from corpusloom.functions.vectors import BatchEmbedder
 from corpusloom.operators.embedding import embed
+from corpusloom.operators.models import StreamGenerator, generate_streamed
 from corpusloom.operators.named_index import PROBES, NamedIndex
 from corpusloom.operators.search import knn, with_payload
 from corpusloom.session import stage
 
-# Longest text that is folded for a model call, far beyond any model window, and
-# turns per piece of a rewrite prompt.
-FOLD_CHARS = 1_000_000
+# Turns per piece of a rewrite prompt.
 PIECE_TURNS = 256
+TEXTS = PromptTexts()
 
 
 def _line() -> Column:
@@ -92,7 +92,10 @@ def _fold(*keys: str | Column):
 
 
 def rewrite_prompts(
-    messages: DataFrame, last_user: bool = False, piece_turns: int = PIECE_TURNS
+    messages: DataFrame,
+    last_user: bool = False,
+    piece_turns: int = PIECE_TURNS,
+    texts: PromptTexts = TEXTS,
 ) -> DataFrame:
     """``(conv_id, piece, text)``: the prompt that asks a model for a search query.
 
@@ -107,11 +110,9 @@ def rewrite_prompts(
     ends = pieces.groupBy("conv_id").agg(
         F.min("piece").alias("first"), F.max("piece").alias("last")
     )
-    before, _, after = prompts.REWRITE_TEMPLATE.partition("{chat_history}")
+    before, after = (prompts.filled(p, question=F.col("question")) for p in texts.around_history())
     opening = F.when(F.col("piece") == F.col("first"), before).otherwise("\n")
-    closing = F.when(
-        F.col("piece") == F.col("last"), prompts.fill(after, question=F.col("question"))
-    ).otherwise("")
+    closing = F.when(F.col("piece") == F.col("last"), after).otherwise("")
     return (
         pieces.join(ends, "conv_id")
         .join(heads.select("conv_id", "question"), "conv_id")
@@ -119,30 +120,30 @@ def rewrite_prompts(
     )
 
 
-Rewriter = Callable[[Column], Column]
+MakeRewriter = Callable[[], StreamGenerator]
 
 
 def search_texts(
-    messages: DataFrame, rewriter: Rewriter | None = None, last_user: bool = False
+    messages: DataFrame,
+    make_rewriter: MakeRewriter | None = None,
+    last_user: bool = False,
+    texts: PromptTexts = TEXTS,
 ) -> DataFrame:
     """``(conv_id, search_text)``, rewritten where there is a history.
 
-    ``rewriter`` turns the prompt column into a query; a prompt of several pieces
-    is beyond any model, so there the question is the query. Without a rewriter
-    the opening message and the question stand in for what a model would write.
+    The model that ``make_rewriter`` makes, once per task, reads the pieces of a prompt and
+    writes the query, however many pieces there are. Without one the opening message and
+    the question stand in for what a model would write.
     """
     heads = chat_heads(messages, last_user)
-    if rewriter is None:
+    if make_rewriter is None:
         rewritten = F.when(
             F.col("has_history"), F.concat_ws("\n", F.col("opening"), F.col("question"))
         )
         return heads.select("conv_id", F.coalesce(rewritten, "question").alias("search_text"))
-    pieces = rewrite_prompts(messages, last_user)
-    several = pieces.where(F.col("text").startswith("\n")).select("conv_id").distinct()
-    single = pieces.join(several, "conv_id", "left_anti").select(
-        "conv_id", rewriter(F.col("text")).alias("rewritten")
-    )
-    return heads.join(single, "conv_id", "left").select(
+    pieces = rewrite_prompts(messages, last_user, texts=texts)
+    written = generate_streamed(pieces, "conv_id", "piece", make_rewriter, "rewritten")
+    return heads.join(stage(written, "rewritten"), "conv_id", "left").select(
         "conv_id", F.coalesce("rewritten", "question").alias("search_text")
     )
 
@@ -196,7 +197,10 @@ def format_context(hits: DataFrame, template: str = prompts.PASSAGE_TEMPLATE) ->
 
 
 def assemble_prompts(
-    messages: DataFrame, contexts: DataFrame, last_user: bool = False
+    messages: DataFrame,
+    contexts: DataFrame,
+    last_user: bool = False,
+    texts: PromptTexts = TEXTS,
 ) -> DataFrame:
     """Message rows ``(conv_id, seq, role, content)`` for a chat model.
 
@@ -215,7 +219,7 @@ def assemble_prompts(
                 F.struct(
                     F.lit(0).cast("long").alias("seq"),
                     F.lit("system").alias("role"),
-                    prompts.system_message(F.col("context"), F.col("question")).alias("content"),
+                    texts.system_message(F.col("context"), F.col("question")).alias("content"),
                 ),
                 F.struct(
                     (F.col("last_turn") + 1).alias("seq"),
@@ -249,33 +253,39 @@ def rag_prompts(
     embedder: BatchEmbedder,
     dim: int,
     k: int = PASSAGES,
-    rewriter: Rewriter | None = None,
+    make_rewriter: MakeRewriter | None = None,
     last_user: bool = False,
     nprobe: int = PROBES,
+    texts: PromptTexts = TEXTS,
 ) -> DataFrame:
     """The whole chain up to the model call, one prompt per conversation."""
-    texts = search_texts(messages, rewriter, last_user)
-    queries = texts.select(
+    asked = search_texts(messages, make_rewriter, last_user, texts)
+    queries = asked.select(
         F.col("conv_id").alias("query_id"), F.col("search_text").alias("text")
     )
     hits = retrieve(queries, corpus, embedder, dim, k, nprobe=nprobe)
-    contexts = format_context(hits).withColumnRenamed("query_id", "conv_id")
-    return assemble_prompts(messages, contexts, last_user)
+    contexts = format_context(hits, texts.passage).withColumnRenamed("query_id", "conv_id")
+    return assemble_prompts(messages, contexts, last_user, texts)
 
 
-def model_requests(prompt_rows: DataFrame, fold_chars: int = FOLD_CHARS) -> DataFrame:
-    """``(conv_id, system_prompt, prompt)``, one text per prompt for a model call.
+def prompt_pieces(prompt_rows: DataFrame, texts: PromptTexts = TEXTS) -> DataFrame:
+    """``(conv_id, piece, text)``: prompts wrapped for an instruction model, a piece per message.
 
-    A prompt longer than ``fold_chars``, summed before anything is folded, is
-    beyond any model: its row has a NULL prompt and its messages stay rows.
+    In order, the pieces of a conversation are its prompt: the system message in its
+    frame, then ``role: text`` lines. ``operators.models.generate_streamed`` reads them.
     """
-    system = prompt_rows.where(F.col("seq") == 0).select(
-        "conv_id", F.col("content").alias("system_prompt")
+    before, after = texts.around_instruction()
+    # Either side may show the system message.
+    systems = prompt_rows.where(F.col("seq") == 0).select("conv_id", F.col("content").alias("_system"))
+    ends = prompt_rows.where(F.col("seq") > 0).groupBy("conv_id").agg(
+        F.min("seq").alias("_first"), F.max("seq").alias("_last")
     )
-    turns = prompt_rows.where(F.col("seq") > 0).select(
-        "conv_id", F.col("seq").alias("turn"), "role", F.col("content").alias("text")
+    rows = prompt_rows.join(systems.join(ends, "conv_id"), "conv_id")
+    opening, closing = (prompts.filled(p, system_prompt=F.col("_system")) for p in (before, after))
+    line = F.concat(
+        F.when(F.col("seq") == F.col("_first"), F.lit("")).otherwise(F.lit("\n")),
+        F.concat("role", F.lit(": "), "content"),
+        F.when(F.col("seq") == F.col("_last"), closing).otherwise(F.lit("")),
     )
-    sizes = turns.groupBy("conv_id").agg(F.sum(F.length(_line())).alias("chars"))
-    short = sizes.where(F.col("chars") <= fold_chars).select("conv_id")
-    folded = _fold("conv_id")(turns.join(short, "conv_id", "left_semi"))
-    return system.join(folded.withColumnRenamed("lines", "prompt"), "conv_id", "left")
+    text = F.when(F.col("seq") == 0, opening).otherwise(line)
+    return rows.select("conv_id", F.col("seq").alias("piece"), text.alias("text"))

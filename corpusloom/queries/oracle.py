@@ -466,13 +466,33 @@ ORACLE = {
         ("rows_", assembled("named")),
         (
             "requests",
-            "SELECT conv_id, max(content) FILTER (WHERE seq = 0) AS s, CASE WHEN "
-            "sum(length(role) + 2 + length(content)) FILTER (WHERE seq > 0) <= 1000000 THEN "
-            "string_agg(role || ': ' || content, chr(10) ORDER BY seq) FILTER (WHERE seq > 0) END AS p FROM rows_ GROUP BY conv_id",
+            "SELECT conv_id, max(content) FILTER (WHERE seq = 0) AS s, "
+            "string_agg(role || ': ' || content, chr(10) ORDER BY seq) FILTER (WHERE seq > 0) AS p FROM rows_ GROUP BY conv_id",
         ),
         ("wrapped", "SELECT conv_id, '<s>[INST]<<SYS>>' || chr(10) || s || chr(10) || '<</SYS>>' || chr(10) || chr(10) || chr(10) || p || '[/INST]' || chr(10) AS f FROM requests"),
     )
     + "SELECT conv_id, 't=0.01 ' || array_to_string(list_slice(regexp_extract_all(f, '\\S+'), 1, 40), ' ') AS answer FROM wrapped",
+    "rewritten_search": with_clause(
+        HEADS,
+        HISTORY,
+        ("told", "SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS lines FROM history GROUP BY conv_id"),
+        (
+            "ends",
+            "SELECT conv_id, regexp_extract_all(right('Chat history: ' || lines || chr(10) || chr(10) || 'Question: ' || question, 200), "
+            "'\\S+') AS w FROM told JOIN heads USING (conv_id)",
+        ),
+    )
+    + "SELECT conv_id, coalesce(array_to_string(w[greatest(1, len(w) - 4):len(w)], ' '), question) AS search_text "
+    "FROM heads LEFT JOIN ends USING (conv_id)",
+    "assemble_short_prompt": with_clause(HEADS, HISTORY, FIRST_CONTEXT)
+    + "SELECT conv_id, 0::BIGINT AS seq, 'system' AS role, 'Q: ' || question || chr(10) || 'Use {only} this: ' || context || chr(10) "
+    "|| 'Q again: ' || question AS content FROM heads JOIN first_context USING (conv_id) "
+    "UNION ALL SELECT conv_id, turn + 1, role, text FROM history WHERE role IN ('user', 'assistant') "
+    "UNION ALL SELECT conv_id, last_turn + 1, 'user', question FROM heads",
+    "rewrite_short_prompt": with_clause(HEADS, HISTORY, PIECES)
+    + "SELECT conv_id, piece, CASE WHEN piece = min(piece) OVER (PARTITION BY conv_id) THEN question || chr(10) || '--' || chr(10) "
+    "ELSE chr(10) END || lines || CASE WHEN piece = max(piece) OVER (PARTITION BY conv_id) THEN chr(10) || '--' || chr(10) || "
+    "'Shorter, please.' ELSE '' END AS text FROM pieces JOIN heads USING (conv_id)",
     "instruct_prompt": "SELECT doc_id, '<s>[INST]<<SYS>>' || chr(10) || 'Answer in ' || lang || '.' || chr(10) || '<</SYS>>' "
     "|| chr(10) || chr(10) || chr(10) || text || '[/INST]' || chr(10) AS prompt FROM documents",
     "strip_prompt": "SELECT conv_id, turn, text AS answer FROM conversations",

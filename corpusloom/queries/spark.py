@@ -395,15 +395,59 @@ def echo_generator():
     return generate
 
 
+def first_words_generator():
+    """Stand-in model: answers with the first words of a prompt and reads no further."""
+
+    def generate(texts, request):
+        read, wanted = "", request["max_new_tokens"]
+        for text in texts:
+            read += text
+            if len(read.split()) > wanted:
+                break
+        return " ".join([f"t={request['temperature']:.2f}", *read.split()[:wanted]])
+
+    return generate
+
+
 def rag_answers(spark, folder):
-    asked = chat.model_requests(stage(rag_prompts(spark, folder), "prompts"))
-    prompt = prompts.instruct_prompt(F.col("system_prompt"), F.col("prompt"))
-    ready = spread(asked.withColumn("full_prompt", prompt))
-    answered = models.generate(
-        ready, echo_generator, F.col("full_prompt"), F.col("system_prompt"), F.lit(0.01), F.lit(40)
-    )
-    answer = without_prompt(F.col("output"), F.col("full_prompt"))
-    return answered.select("conv_id", answer.alias("answer"))
+    pieces = chat.prompt_pieces(stage(rag_prompts(spark, folder), "prompts"))
+    asked = pieces.withColumns({"temperature": F.lit(0.01), "max_new_tokens": F.lit(40)})
+    return models.generate_streamed(asked, "conv_id", "piece", first_words_generator, "answer")
+
+
+def last_words_rewriter():
+    """Stand-in model: reads all pieces of a prompt and writes its last words."""
+
+    def rewrite(texts, request):
+        kept = ""
+        for text in texts:
+            kept = (kept + text)[-200:]
+        return " ".join(kept.split()[-5:])
+
+    return rewrite
+
+
+def rewritten_search(spark, folder):
+    return chat.search_texts(_turns(spark, folder), last_words_rewriter)
+
+
+SHORT_TEXTS = prompts.PromptTexts.from_config(
+    {
+        "answer": "Q: {question}\nUse {{only}} this: {context}\nQ again: {question}",
+        "rewrite": "{question}\n--\n{chat_history}\n--\nShorter, please.",
+        "passage": "[{document_uri}] {chunk_text} ",
+        "instruct": "{instruction} ({system_prompt})",
+    }
+)
+
+
+def assemble_short_prompt(spark, folder):
+    """Prompts by templates from a configuration."""
+    return chat.assemble_prompts(_turns(spark, folder), _labelled_context(spark, folder), texts=SHORT_TEXTS)
+
+
+def rewrite_short_prompt(spark, folder):
+    return chat.rewrite_prompts(_turns(spark, folder), texts=SHORT_TEXTS)
 
 
 def instruct_prompt(spark, folder):
@@ -699,6 +743,9 @@ QUERIES = {
         rag_prompts,
         rag_prompts_ann,
         rag_answers,
+        rewritten_search,
+        assemble_short_prompt,
+        rewrite_short_prompt,
         instruct_prompt,
         strip_prompt,
         generate_batch,

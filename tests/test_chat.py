@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions import prompts
 from corpusloom.functions.vectors import HashEmbedder
 from corpusloom.operators.embedding import embed
-from corpusloom.operators.models import extract_text, generate, parsed, quarantined
+from corpusloom.operators.models import extract_text, generate, generate_streamed, parsed, quarantined
 from corpusloom.plans import chat
+from corpusloom.session import setting
 
 TALKS = [
     (1, 0, "system", "Be kind."),
@@ -66,27 +67,78 @@ def test_pieces_of_a_long_prompt_make_up_the_prompt(talks):
     assert len([r for r in pieces if r.conv_id == 1]) == 3
 
 
+def tail(length):
+    """A model that writes the end of its prompt and counts what it read."""
+
+    def make():
+        def write(texts, request):
+            read, kept = 0, ""
+            for text in texts:
+                read, kept = read + len(text), (kept + text)[-length:]
+            return f"{read}:{kept}"
+
+        return write
+
+    return make
+
+
 def test_search_text_follows_the_branch(talks):
     plain = by_id(chat.search_texts(talks), "conv_id", "search_text")
     assert plain[2] == ("Only one",) and plain[3] == ("Rules\nhello",)
-    short = by_id(
-        chat.search_texts(talks, lambda prompt: F.right(prompt, F.lit(5))), "conv_id", "search_text"
-    )
-    assert short[2] == ("Only one",) and short[3] == ("hello",)
+    short = by_id(chat.search_texts(talks, tail(5)), "conv_id", "search_text")
+    whole = by_id(chat.rewrite_prompts(talks), "conv_id", "text")
+    assert short[2] == ("Only one",) and short[3] == (f"{len(whole[3][0])}:hello",)
+
+
+def test_a_long_talk_is_rewritten(spark):
+    talk = [(1, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(700)] + [(2, 0, "user", "short")]
+    frame = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    pieces = chat.rewrite_prompts(frame).orderBy("piece").collect()
+    assert len(pieces) == 3
+    whole = "".join(r.text for r in pieces)
+    got = by_id(chat.search_texts(frame, tail(18)), "conv_id", "search_text")
+    assert got == {1: (f"{len(whole)}:{whole[-18:]}",), 2: ("short",)} and whole.endswith("Question: turn 699")
+
 
+def test_a_prompt_of_a_million_characters_is_answered(spark, monkeypatch):
+    talk = [(1, t, "assistant" if t % 2 else "user", f"{t} " + "word " * 500) for t in range(601)]
+    frame = spark.createDataFrame(talk + [(2, 0, "user", "Hi")], "conv_id long, turn long, role string, text string")
+    none = spark.createDataFrame([], "conv_id long, context string")
+    pieces = chat.prompt_pieces(chat.assemble_prompts(frame, none))
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", 50):
+        got = by_id(generate_streamed(pieces, "conv_id", "piece", tail(8)), "conv_id", "output")
+    read, _, end = got[1][0].partition(":")
+    assert int(read) > 1_500_000 and end == "[/INST]\n" and got[2][0].endswith("[/INST]\n")
+    rows = pieces.where("conv_id = 2").orderBy("piece").collect()
+    system = chat.assemble_prompts(frame, none).where("conv_id = 2 and seq = 0").first().content
+    assert "".join(r.text for r in rows) == f"<s>[INST]<<SYS>>\n{system}\n<</SYS>>\n\n\nuser: Hi[/INST]\n"
 
-def test_prompt_too_long_for_a_model_keeps_its_rows(talks):
-    none = talks.select("conv_id").limit(0).withColumn("context", F.lit(""))
-    rows = chat.assemble_prompts(talks, none)
-    asked = by_id(chat.model_requests(rows, fold_chars=30), "conv_id", "prompt")
-    assert asked[1] == (None,) and asked[2] == ("user: Only one",)
-    assert rows.where("conv_id = 1").count() == 4
+
+def test_streamed_calls_take_their_parameters(spark):
+    rows = [(1, 0, "a", 0.5, None), (1, 1, None, None, 9), (2, 0, "b", None, 7), (None, 0, "c", None, None)]
+    frame = spark.createDataFrame(rows, "k long, i int, text string, temperature double, max_new_tokens long")
 
     def make():
-        return lambda q: ["x" for _ in range(len(q))]
+        # Leaves pieces unread, which must not disturb the next call.
+        return lambda texts, request: f"{next(texts)}|{request['temperature']}|{request['max_new_tokens']}"
+
+    got = by_id(generate_streamed(frame, "k", "i", make), "k", "output")
+    assert got == {1: ("a|0.5|100",), 2: ("b|1.0|7",), None: ("c|1.0|100",)}
+    bare = by_id(generate_streamed(frame.select("k", "i", "text"), "k", "i", make), "k", "output")
+    assert bare[2] == ("b|1.0|100",)
+
 
-    out = generate(chat.model_requests(rows, fold_chars=30), make, F.col("prompt"), F.lit("s"))
-    assert {r.conv_id for r in out.where("output is null").collect()} == {1}
+def test_templates_are_checked_when_given(spark):
+    with pytest.raises(ValueError, match="unknown slot 'contxt'"):
+        prompts.PromptTexts(answer="{contxt}")
+    with pytest.raises(ValueError, match="lone brace"):
+        prompts.PromptTexts(passage="{chunk_text} }")
+    with pytest.raises(ValueError, match="chat_history"):
+        prompts.PromptTexts(rewrite="{question}")
+    with pytest.raises(ValueError, match="unknown templates"):
+        prompts.PromptTexts.from_config({"greeting": "hi"})
+    row = spark.range(1).select(prompts.fill("{{{a}}} {b}{a}", a=F.lit("{b}"), b=F.lit(2).cast("string"))).first()
+    assert row[0] == "{{b}} 2{b}"
 
 
 def test_values_that_look_like_placeholders_stay(spark, talks):
@@ -147,9 +199,9 @@ def test_chain_end_to_end(spark, talks):
     rows = chat.rag_prompts(talks, corpus, HashEmbedder(64), 64, k=1)
     system = by_id(rows.where("seq = 0"), "conv_id", "content")
     assert "Passage: hello world\n" in system[3][0]
-    requests = chat.model_requests(rows)
-    assert by_id(requests, "conv_id", "prompt")[1] == (
-        "user: What is {question}?\nassistant: A word.\nuser: And then?",
+    pieces = chat.prompt_pieces(rows).where("conv_id = 1 and piece > 0").orderBy("piece")
+    assert "".join(r.text for r in pieces.collect()) == (
+        "user: What is {question}?\nassistant: A word.\nuser: And then?[/INST]\n"
     )
 
 
