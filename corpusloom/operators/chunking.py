@@ -25,13 +25,17 @@ def _windows(words: Column, width: int, step: int, overlap: int) -> Column:
     return F.when(F.size(words) > 0, slices).otherwise(F.array().cast("array<array<string>>"))
 
 
+def sentences_of(cleaned: Column) -> Column:
+    """The sentences of a cleaned text, trimmed, none of them empty."""
+    matches = F.regexp_extract_all(cleaned, F.lit(SENTENCE), F.lit(0))
+    return F.filter(F.transform(matches, lambda s: F.trim(s)), lambda s: s != "")
+
+
 def _pieces(cleaned: Column, budget: int) -> Column:
     """Sentences as word arrays; a sentence over the budget is cut into windows."""
-    matches = F.regexp_extract_all(cleaned, F.lit(SENTENCE), F.lit(0))
-    sentences = F.transform(matches, lambda s: F.trim(s))
     return F.flatten(
         F.transform(
-            F.filter(sentences, lambda s: s != ""),
+            sentences_of(cleaned),
             lambda s: let(_words(s), lambda words: _windows(words, budget, budget, 0)),
         )
     )

@@ -21,6 +21,7 @@ from corpusloom.operators.embedding import embed
 from corpusloom.operators.models import StreamGenerator, generate_streamed
 from corpusloom.operators.named_index import PROBES, NamedIndex
 from corpusloom.operators.search import knn, with_payload
+from corpusloom.operators.token_chunks import MakeCounter, tokens_in
 from corpusloom.session import stage
 
 # Turns per piece of a rewrite prompt.
@@ -239,11 +240,17 @@ def prompt_budget(
     prompt_rows: DataFrame,
     max_tokens: int = prompts.MAX_ANSWER_TOKENS,
     window: int = prompts.MODEL_WINDOW,
+    make_counter: MakeCounter | None = None,
 ) -> DataFrame:
-    """``(conv_id, prompt_tokens, fits)``: does prompt plus answer fit the model?"""
-    return prompt_rows.groupBy("conv_id").agg(
-        F.sum(token_count(F.col("content"))).alias("prompt_tokens"),
-        (F.sum(token_count(F.col("content"))) + max_tokens <= window).alias("fits"),
+    """``(conv_id, prompt_tokens, fits)``: does prompt plus answer fit the model?
+
+    Tokens are those of the counter, or words.
+    """
+    content = F.col("content")
+    tokens = token_count(content) if make_counter is None else tokens_in(content, make_counter)
+    counted = prompt_rows.select("conv_id", tokens.alias("tokens"))
+    return counted.groupBy("conv_id").agg(
+        F.sum("tokens").alias("prompt_tokens"), (F.sum("tokens") + max_tokens <= window).alias("fits")
     )
 
 

@@ -369,6 +369,40 @@ ORACLE = {
     "join_pages": f"SELECT doc_id, {LINES.format('text')} AS text FROM documents",
     "chunk_sentences": with_clause(*chunk_parts("documents", "doc_id"))
     + "SELECT doc_id, chunk_idx, content, n_tokens FROM chunks",
+    "chunk_tokens": with_clause(
+        *chunk_parts("documents", "doc_id")[:2],
+        (
+            "cut",
+            "SELECT doc_id, si, sentence, unnest(CASE WHEN (length(sentence) + 4) // 4 <= 490 THEN [0] ELSE "
+            "range(0, (length(sentence) + 1955) // 1956) END) AS p, (length(sentence) + 4) // 4 <= 490 AS whole FROM sentences",
+        ),
+        (
+            "pieces",
+            "SELECT * FROM (SELECT doc_id, si, p, CASE WHEN whole THEN sentence ELSE trim(substr(sentence, p * 1956 + 1, 1956)) END AS t "
+            "FROM cut) WHERE t <> ''",
+        ),
+        ("sized", "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY si, p) AS i, t, (length(t) + 4) // 4 AS n FROM pieces"),
+        (
+            "packed",
+            "SELECT doc_id, i, n AS used, 0 AS c FROM sized WHERE i = 1 UNION ALL SELECT s.doc_id, s.i, "
+            "CASE WHEN k.used + s.n > 490 THEN s.n ELSE k.used + s.n END, CASE WHEN k.used + s.n > 490 THEN k.c + 1 ELSE k.c END "
+            "FROM packed k JOIN sized s ON s.doc_id = k.doc_id AND s.i = k.i + 1",
+        ),
+        (
+            "body",
+            "SELECT doc_id, i, t, c, sum(n) OVER (PARTITION BY doc_id, c ORDER BY i DESC) AS suffix, "
+            "max(c) OVER (PARTITION BY doc_id) AS last_c FROM sized JOIN packed USING (doc_id, i)",
+        ),
+        (
+            "members",
+            "SELECT doc_id, c, i, t FROM body UNION ALL SELECT doc_id, c + 1, i, t FROM body WHERE suffix <= 10 AND c < last_c",
+        ),
+        ("joined", "SELECT doc_id, c::BIGINT AS chunk_idx, string_agg(t, ' ' ORDER BY i) AS content FROM members GROUP BY doc_id, c"),
+    )
+    + "SELECT doc_id, chunk_idx, content, (length(content) + 3) // 4 AS n_tokens FROM joined",
+    "prompt_budget_tokens": with_clause(HEADS, HISTORY, FIRST_CONTEXT, ("rows_", assembled("first_context")))
+    + "SELECT conv_id, sum((length(content) + 3) // 4)::BIGINT AS prompt_tokens, "
+    "sum((length(content) + 3) // 4) + 1500 <= 4096 AS fits FROM rows_ GROUP BY conv_id",
     "chunk_windows": with_clause(
         ("worded", f"SELECT doc_id, string_split({clean('text')}, ' ') AS w FROM documents WHERE {clean('text')} <> ''"),
         (

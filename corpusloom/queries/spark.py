@@ -12,7 +12,7 @@ from corpusloom.functions.text import clean_text as clean
 from corpusloom.functions.text import join_pages as joined_pages
 from corpusloom.functions.text import strip_prompt as without_prompt
 from corpusloom.functions.vectors import HashEmbedder
-from corpusloom.operators import chunking, evaluation, feedback, index, keys, models, search
+from corpusloom.operators import chunking, evaluation, feedback, index, keys, models, search, token_chunks
 from corpusloom.operators.embedding import embed
 from corpusloom.operators.named_index import create_index, open_index
 from corpusloom.plans import chat
@@ -75,6 +75,12 @@ def chunk_sentences(spark, folder):
     return chunking.chunk_sentences(spread(documents(spark, folder).select("doc_id", "text")))
 
 
+def chunk_tokens(spark, folder):
+    """Sentences packed by another counter than words."""
+    texts = spread(documents(spark, folder).select("doc_id", "text"))
+    return token_chunks.chunk_by_tokens(texts, token_chunks.width_counter(4))
+
+
 def chunk_windows(spark, folder):
     return chunking.chunk_windows(
         spread(documents(spark, folder).select("doc_id", "text")), max_tokens=100, overlap=10
@@ -372,6 +378,10 @@ def prompt_budget(spark, folder):
     return chat.prompt_budget(assemble_prompt(spark, folder))
 
 
+def prompt_budget_tokens(spark, folder):
+    return chat.prompt_budget(assemble_prompt(spark, folder), make_counter=token_chunks.width_counter(4))
+
+
 def rag_prompts(spark, folder):
     return chat.rag_prompts(_turns(spark, folder), corpus(spark, folder), EMBEDDER, DIM)
 
@@ -711,6 +721,7 @@ QUERIES = {
         clean_text,
         join_pages,
         chunk_sentences,
+        chunk_tokens,
         chunk_windows,
         extract_article,
         nested_article,
@@ -740,6 +751,7 @@ QUERIES = {
         rewrite_prompt,
         assemble_prompt,
         prompt_budget,
+        prompt_budget_tokens,
         rag_prompts,
         rag_prompts_ann,
         rag_answers,
