@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from html.parser import HTMLParser
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 ANY_SPACE = r"(?U)[\s\x{1c}-\x{1f}]+"
 TOKEN = r"\S+"
 PAGE_BREAK = "\n\n"
-# HTML elements that never have a closing tag.
-VOID_TAGS = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
+# Fixed value: what may stand between an ampersand and its semicolon.
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+ENTRY, VALUE = "\x1e", "\x1f"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -62,66 +61,90 @@ def markup_to_text(html: Column) -> Column:
     """Visible text of an HTML fragment, cleaned."""
     no_code = F.regexp_replace(html, r"(?si)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
     no_tags = F.regexp_replace(no_code, r"<[^>]*>", " ")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        no_tags = F.replace(no_tags, F.lit(entity), F.lit(char))
-    return clean_text(no_tags)
-
-
-class _ElementFinder(HTMLParser):
-    """Finds the first element with a tag and attribute value, nesting included."""
-
-    def __init__(self, tag: str, attribute: str, value: str):
-        super().__init__(convert_charrefs=False)
-        self.tag, self.attribute, self.value = tag, attribute, value
-        self.begin = self.end = None
-        self.depth = 0
-        self.source, self.line_starts = "", []
-
-    def find(self, source: str) -> str | None:
-        self.source = source
-        self.line_starts = [0] + [i + 1 for i, c in enumerate(source) if c == "\n"]
-        self.feed(source)
-        self.close()
-        if self.begin is None:
-            return None
-        return source[self.begin : self.end].strip()
-
-    def _offset(self) -> int:
-        line, column = self.getpos()
-        return self.line_starts[line - 1] + column
-
-    def handle_starttag(self, tag, attrs):
-        if self.end is not None or tag != self.tag or tag in VOID_TAGS:
-            return
-        if self.begin is not None:
-            self.depth += 1
-        elif dict(attrs).get(self.attribute) == self.value:
-            self.begin, self.depth = self._offset(), 1
-
-    def handle_startendtag(self, tag, attrs):
-        return
-
-    def handle_endtag(self, tag):
-        if self.begin is None or self.end is not None or tag != self.tag:
-            return
-        self.depth -= 1
-        if self.depth == 0:
-            self.end = self.source.index(">", self._offset()) + 1
+    return clean_text(decode_entities(no_tags))
+
+
+def _named_characters() -> str:
+    """All named characters of HTML, and the numbers that stand for those of Windows-1252."""
+    named = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+    for number in range(128, 160):
+        char = bytes([number]).decode("cp1252", errors="ignore")
+        named |= {f"#{number}": char, f"#x{number:x}": char} if char else {}
+    return ENTRY.join(name + VALUE + chars for name, chars in named.items())
+
+
+def decode_entities(text: Column) -> Column:
+    """HTML character references as characters, each once; what is none stays."""
+    # One literal, which the optimiser turns into a map.
+    named = F.str_to_map(F.lit(_named_characters()), F.lit(ENTRY), F.lit(VALUE))
+
+    def point(digits: Column, base: int) -> Column:
+        number = F.conv(digits, base, 10).cast("long")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, REFERENCE, 1)
+
+        def char(name: Column) -> Column:
+            digits = F.regexp_extract(name, r"^#([0-9]+)$", 1)
+            hexes = F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]+)$", 1)
+            return F.coalesce(
+                F.try_element_at(named, F.when(F.startswith(name, F.lit("#")), F.lower(name)).otherwise(name)),
+                F.when(digits != "", point(digits, 10)),
+                F.when(hexes != "", point(hexes, 16)),
+            )
+
+        found = F.concat(char(name), F.substring(part, F.length(name) + 2, F.length(part)))
+        return F.coalesce(F.when(name != "", found), F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
 
 
 def nested_element(html: Column, tag: str, attribute: str, value: str) -> Column:
-    """Outer HTML of the first ``tag[attribute=value]`` element; NULL if none.
+    """Outer HTML of the first ``tag[attribute=value]`` element, nesting included; NULL if none.
 
-    Regular expressions cannot match nested tags, so this one leaves the JVM.
+    The page is cut into tags of that name and what lies between; comments, scripts and
+    styles are between, whatever they hold. A fold over the cuts counts how deep they nest
+    and keeps where the element begins and ends. One that is not closed ends with the page.
     """
-
-    @F.pandas_udf("string")
-    def find(pages: pd.Series) -> pd.Series:
-        return pages.map(
-            lambda page: _ElementFinder(tag, attribute, value).find(page) if page else None
+    quoted = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
+    tokens = F.regexp_extract_all(
+        html,
+        F.lit(
+            rf"(?si)<!--.*?-->|<(script|style)\b{quoted}>.*?</\1\s*>|<{tag}(?=[\s/>]){quoted}>|</{tag}(?=[\s/>])[^>]*>|[^<]+|<"
+        ),
+        F.lit(0),
+    )
+    name, wanted = re.escape(attribute), re.escape(value)
+    has_value = rf"""(?s)^<[^\s>]+{quoted[:-2]}*?[\s"'/](?i:{name})\s*=\s*(?:"{wanted}"|'{wanted}'|{wanted}(?=[\s/>]))"""
+    start = F.struct(*(F.lit(0).alias(n) for n in ("at", "depth", "begin", "end")))
+
+    def step(state: Column, token: Column) -> Column:
+        opens = token.rlike(rf"(?i)^<{tag}[\s/>]") & ~F.endswith(token, F.lit("/>"))
+        closes = F.lower(F.left(token, F.lit(len(tag) + 2))) == f"</{tag.lower()}"
+        inside = (state["begin"] > 0) & (state["end"] == 0)
+        begins = (state["begin"] == 0) & opens & token.rlike(has_value)
+        after = state["at"] + F.length(token)
+        depth = state["depth"] + F.when((inside & opens) | begins, 1).when(inside & closes, -1).otherwise(0)
+        return F.struct(
+            after.alias("at"),
+            depth.alias("depth"),
+            F.when(begins, state["at"] + 1).otherwise(state["begin"]).alias("begin"),
+            F.when(inside & closes & (state["depth"] == 1), after).otherwise(state["end"]).alias("end"),
         )
 
-    return find(html)
+    def cut(place: Column) -> Column:
+        last = F.when(place["end"] > 0, place["end"]).otherwise(place["at"])
+        return F.when(place["begin"] > 0, trim_space(F.substring(html, place["begin"], last - place["begin"] + 1)))
+
+    return let(F.aggregate(tokens, start, step), cut)
+
+
+def trim_space(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def strip_prompt(output: Column, prompt: Column) -> Column:

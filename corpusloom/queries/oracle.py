@@ -356,7 +356,7 @@ ARTICLE = "trim(regexp_extract(html, '(?s)<article(?:\\s[^>]*)?>.*?</article>'))
 def visible(html: str) -> str:
     no_code = f"regexp_replace({html}, '(?s)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g')"
     text = f"regexp_replace({no_code}, '<[^>]*>', ' ', 'g')"
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
         text = f"replace({text}, '{entity}', '{char}')"
     return clean(text)
 

@@ -1,6 +1,7 @@
 """Plain Python restatements of the specifications, for comparison in tests."""
 
 import re
+from html.parser import HTMLParser
 
 
 def clean(text):
@@ -34,3 +35,41 @@ def sentence_chunks(text, max_tokens, overlap):
             total += len(piece)
         out.append(" ".join(w for p in carried + chunk for w in p))
     return out
+
+
+class _Element(HTMLParser):
+    """The first element of a tag with an attribute's value, by the standard parser."""
+
+    def __init__(self, source, tag, attribute, value):
+        super().__init__(convert_charrefs=False)
+        self.wanted, self.source = (tag, attribute, value), source
+        self.lines = [0] + [i + 1 for i, c in enumerate(source) if c == "\n"]
+        self.begin = self.end = None
+        self.depth = 0
+
+    def place(self):
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
+
+    def handle_starttag(self, tag, attrs):
+        if self.end is None and tag == self.wanted[0]:
+            if self.begin is not None:
+                self.depth += 1
+            elif dict(attrs).get(self.wanted[1]) == self.wanted[2]:
+                self.begin, self.depth = self.place(), 1
+
+    def handle_startendtag(self, tag, attrs):
+        pass
+
+    def handle_endtag(self, tag):
+        if self.begin is not None and self.end is None and tag == self.wanted[0]:
+            self.depth -= 1
+            if self.depth == 0:
+                self.end = self.source.index(">", self.place()) + 1
+
+
+def element(source, tag, attribute, value):
+    parser = _Element(source, tag, attribute, value)
+    parser.feed(source)
+    parser.close()
+    return None if parser.begin is None else source[parser.begin : parser.end].strip()

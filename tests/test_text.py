@@ -1,12 +1,13 @@
 import random
 
 import pytest
-from brute import clean, sentence_chunks
+from brute import clean, element, sentence_chunks
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import (
     clean_text,
     join_pages,
+    decode_entities,
     nested_element,
     strip_prompt,
     token_count,
@@ -116,6 +117,43 @@ def test_nested_element_of_another_tag(spark):
     assert column(spark, df, nested_element(F.col("text"), "p", "id", "q")) == ['<p id="q">2</p>']
 
 
+def test_nested_elements_equal_the_standard_parser(spark, sf):
+    rng = random.Random(12)
+    parts = [
+        "<div>", "</div>", "<div itemprop='articleBody'>", '<DIV class="a>b" itemprop="articleBody" >', "</DIV >", "<div/>",
+        "text\n", "<p>", "</p>", "<!-- <div> -->", "<script>if (a<b) '<div>'</script>", "<style>div {}</style>", "<divan>",
+        "<div itemprop=articleBody>", "<div data-x='itemprop'>", "a < b", "&lt;div&gt;", "é😀", "<br/>",
+    ]
+    pages = ["".join(rng.choices(parts, k=rng.randrange(1, 25))) for _ in range(400)]
+    html = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").select("html").collect()]
+    pages += [h.replace("<article>", '<div itemprop="articleBody"><div>').replace("</article>", "</div></div>") for h in html]
+    got = column(spark, texts(spark, pages), article_body(F.col("text")))
+    assert got == [element(p, "div", "itemprop", "articleBody") for p in pages]
+    assert sum(g is not None for g in got) > 200
+
+
+def test_odd_markup_is_harmless(spark):
+    pages = [
+        '<![foo[x]]><div itemprop="articleBody">a</div>',
+        '<div itemprop="articleBody">never closed <div>',
+        "<div itemprop=" + "x" * 100_000,
+        "<" * 50_000,
+        '<div itemprop="articleBody">' + "<div>" * 3000 + "</div>" * 3001 + "rest",
+    ]
+    got = column(spark, texts(spark, pages), article_body(F.col("text")))
+    assert got[0] == '<div itemprop="articleBody">a</div>' and got[1] == pages[1] and got[2] is None and got[3] is None
+    assert got[4] == pages[4][:-4]
+
+
+def test_character_references(spark):
+    values = [
+        "a&nbsp;b &copy; &#39;q&#39; &#x1F600; &amp;lt; &hellip;&Eacute;", "&#150; &#x80;", "&unknown; &amp &; & &#0; &#xD800; &#9999999;",
+        "", "none", "&NotEqualTilde;&lt", "&&amp;&",
+    ]
+    want = ["a\xa0b © 'q' \U0001f600 &lt; …É", "– €", "&unknown; &amp &; & &#0; &#xD800; &#9999999;", "", "none", "≂̸&lt", "&&&"]
+    assert column(spark, texts(spark, values), decode_entities(F.col("text"))) == want
+
+
 def test_strip_prompt(spark):
     df = spark.createDataFrame(
         [(1, "Q: a. answer", "Q: a. "), (2, "other", "Q"), (3, "Q", "Q")],
