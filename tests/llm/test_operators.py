@@ -389,6 +389,51 @@ def test_severity_orders_held_out_texts():
     assert severity[number >= 8].mean() > severity[(number > 0) & (number <= 3)].mean() + 0.5
 
 
+@pytest.mark.parametrize(("folder", "caught"), [("sf0.001", 0.6), ("sf0.01", 0.7)])
+def test_toxic_documents_go_and_clean_ones_stay_on_small_tables(spark, folder, caught):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train_severity(docs, labels)
+    rows = toxicity.score_severity(docs, model).join(labels.withColumnRenamed("toxic", "label"), "doc_id").collect()
+    toxic, clean = ([r.toxic for r in rows if r.label == k] for k in (1, 0))
+    # Not all toxic texts hold a word that others of them hold too.
+    assert np.mean(toxic) >= caught and np.mean(clean) <= 0.01
+    # What is learnt holds for texts that the model has not seen.
+    far = "/root/testdata/sf0.1"
+    others = spark.read.parquet(f"{far}/documents.parquet").join(spark.read.parquet(f"{far}/labels.parquet"), "doc_id")
+    told = toxicity.score_severity(others.withColumnRenamed("toxic", "label"), model).select("label", "toxic").collect()
+    toxic, clean = ([r.toxic for r in told if r.label == k] for k in (1, 0))
+    assert np.mean(toxic) >= 0.5 and np.mean(clean) <= 0.01
+
+
+def test_training_in_tasks_equals_training_in_memory(spark, documents, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = documents.join(labels, "doc_id").orderBy("doc_id").collect()
+    counted = [toxicity.word_counts(r.text) for r in rows]
+    near = toxicity.fit_severity([(list(c), list(c.values())) for c in counted], np.array([r.toxic for r in rows]))
+    far = toxicity.train_severity(documents, labels)
+    assert near.weights.keys() == far.weights.keys() and len(far.weights) > 5
+    texts = [r.text for r in rows]
+    assert np.allclose(near.probabilities(texts), far.probabilities(texts), atol=1e-6)
+    assert near.reject_over == pytest.approx(far.reject_over, abs=1e-6)
+
+
+def test_scores_leave_other_columns_alone(spark):
+    docs = spark.createDataFrame([(1, "a text", 5, 2.0)], "doc_id long, text string, _scored int, severity double")
+    row = toxicity.score_severity(docs, toxicity.SeverityModel()).first()
+    assert row._scored == 5 and row.severity == 0.0 and not row.toxic
+
+
+def test_ordinal_fit_shares_weights_and_orders_thresholds():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 6))
+    true, cuts = np.array([2.0, -1.0, 0.5, 0.0, 1.0, 0.0]), np.array([-1.0, 0.5, 2.0])
+    grade = ((x @ true)[:, None] + rng.logistic(size=(3000, 1)) > cuts).sum(axis=1)
+    rows, columns = np.indices(x.shape)
+    features = toxicity.Sparse(rows.ravel(), columns.ravel(), x.ravel(), *x.shape)
+    weights, found = toxicity.fit_ordinal(features, grade, 4, balance=False)
+    assert np.allclose(weights, true, atol=0.2) and np.allclose(found, cuts, atol=0.2) and (np.diff(found) > 0).all()
+
+
 def test_toxicity_of_odd_rows(odd, empty, spark):
     labels = spark.createDataFrame([(4, 1, 0), (8, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     model = toxicity.train_severity(odd, labels)
