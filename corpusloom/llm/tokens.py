@@ -11,6 +11,7 @@ whole by the tokenizer; the ids are the same either way.
 from __future__ import annotations
 
 import array
+import itertools
 import json
 import re
 import sys
@@ -23,14 +24,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 4_000_000
 WORDS_KEPT = 1_000_000
 # Words of these letters form one unit of either family, whatever surrounds them.
 PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Signs behind a letter and before a space are a unit of their own in both families, whatever
+# stands around them; ``SIGNS`` marks them as a word without a space before it.
+SIGNS = "\x02"
+ENDS = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)( |$)"
 # Marks the first word of a text, which has no space before it.
 FIRST = "\x01"
 # Runs of blanks longer than one, where a cut could separate characters of one unit.
-RUNS = ("  ", "\n\n", " \n", "\n ", FIRST)
+RUNS = ("  ", "\n\n", " \n", "\n ", FIRST, SIGNS)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -48,7 +53,10 @@ class TokenEncoder:
             parts = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        letters = _byte_letters()
+        self.space = letters[0x20]
+        # A line end stands between words here, and within none.
+        self.letters = {b: c for b, c in letters.items() if b != 0x0A}
         self.words_kept = words_kept
         self.family = self._family(parts)
         self._clear()
@@ -79,24 +87,39 @@ class TokenEncoder:
 
     def _surface(self, word: str) -> str:
         """The characters of the text that a word of the cut stands for."""
+        if word[:1] == SIGNS:
+            return word[1:]
         if self.family == "ended" or word[:1] == "\n":
             return word
         return word[1:] if word[:1] == FIRST else " " + word
 
-    def _units(self, word: str) -> list[int]:
-        spaced = " " + word if self.family == "spaced" else word.lower()
-        shown = spaced.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(shown)]
+    def _units(self, words: list[str]) -> list[list[int]]:
+        """Ids of words that are one unit each."""
+        joined = "\n".join(words)
+        if self.family == "ended":
+            joined = joined.lower()
+        shown = joined.encode().decode("latin-1").translate(self.letters)
+        start = self.space if self.family == "spaced" else ""
+        return [
+            [t.id for t in self.model.tokenize(w)] for w in (start + shown.replace("\n", "\n" + start)).split("\n")
+        ]
+
+    def _keep(self, words: list[str], found: list[list[int]]) -> None:
+        first, before = len(self.begin), len(self.flat)
+        self.slots.update(zip(words, range(first, first + len(words)), strict=True))
+        counts = np.fromiter(map(len, found), "int64", len(found))
+        self.count.frombytes(counts.tobytes())
+        self.begin.frombytes((before + np.cumsum(counts) - counts).tobytes())
+        self.flat.extend(itertools.chain.from_iterable(found))
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if PLAIN.fullmatch(w)]
-        other = [w for w in words if not PLAIN.fullmatch(w)]
-        found = zip(other, self._whole([self._surface(w) for w in other]), strict=True)
-        for word, ids in [*((w, self._units(w)) for w in plain), *found]:
-            self.slots[word] = len(self.begin)
-            self.begin.append(len(self.flat))
-            self.count.append(len(ids))
-            self.flat.extend(ids)
+        """Add words that the table does not hold."""
+        plain = [w for w in words if w.isalpha() and PLAIN.fullmatch(w)]
+        if plain:
+            self._keep(plain, self._units(plain))
+        if len(plain) < len(words):
+            other = list(set(words).difference(plain))
+            self._keep(other, self._whole([self._surface(w) for w in other]))
 
     def _slots_of(self, words: list[str]) -> np.ndarray:
         slots = list(map(self.slots.get, words))
@@ -120,12 +143,13 @@ class TokenEncoder:
         elif self.family == "spaced":
             odd = {i for i, t in enumerate(texts) if any(r in t for r in RUNS)}
         else:
-            odd = set()
+            odd = {i for i, t in enumerate(texts) if SIGNS in t}
         if len(odd) == len(texts):
             ids, lengths = np.zeros(0, "uint32"), np.zeros(len(texts), "int64")
         else:
             cut = ["" if i in odd else self._cut(t) for i, t in enumerate(texts)]
-            lists = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+            signs = pc.replace_substring_regex(pa.array(cut, pa.large_string()), ENDS, f"\\1 {SIGNS}\\2\\3")
+            lists = pc.split_pattern(signs, " ")
             coded = lists.flatten().dictionary_encode()
             slots = self._slots_of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
             counts = np.frombuffer(self.count, "int64")[slots]
