@@ -8,12 +8,16 @@ compared on their full sets. Components of the confirmed links are the groups.
 
 * Two sets of resemblance 0.75 or more have at least ``NEED`` of their 32 smallest
   values in common but for a chance of about 1e-7.
-* An inverted list of up to ``LIST`` classes gives all its pairs. In a longer one no
+* A class with too few values that any other retains has no link and drops out.
+* First every class is compared with the heads of its lists that it meets most often, a
+  number of pairs in proportion to the classes. That connects most copies of a text, and
+  all that follows looks only at what is still in different components.
+* An inverted list of up to ``LIST`` classes gives all such pairs. In a longer one no
   pairs are spread out: a class with too few values of long lists cannot owe a link to
-  them alone. The others are first compared with one head of each list, which connects
-  most copies of a text. Members that are still apart are compared with all others in
-  blocks of bounded size inside tasks; their best partners come out, and more of them
-  in every further round, until nothing that could be a link is left between components.
+  them alone. The others are compared with one head of each list, and those that are still
+  apart with all others in blocks of bounded size inside tasks; their best partners come out,
+  and more of them in every further round, until nothing that could be a link is left
+  between components.
 * Copies share a class and meet only in counts.
 """
 
@@ -205,6 +209,31 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _head_pairs(postings: DataFrame, best: int) -> DataFrame:
+    """Every class with the ``best`` heads that it meets in most of its lists.
+
+    The head of a list is its smallest cid, so copies mostly agree on it.
+    """
+    heads = postings.groupBy("v").agg(F.min(F.struct("cid", "n_shingles")).alias("head"))
+    met = (
+        postings.join(heads, "v")
+        .where("cid <> head.cid AND 4 * least(n_shingles, head.n_shingles) >= 3 * greatest(n_shingles, head.n_shingles)")
+        .groupBy("cid", F.col("head.cid").alias("head"))
+        .agg(F.count("*").alias("lists"))
+    )
+    # At most as many heads as a class has indexed values.
+    most = Window.partitionBy("cid").orderBy(F.desc("lists"), "head")
+    top = met.withColumn("place", F.row_number().over(most)).where(F.col("place") <= best)
+    return top.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
+
+
+def _labelled(frame: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
+    """The frame with the component of a column's class, which is the class itself without links."""
+    known = labels.select(F.col("cid").alias("_cid"), F.col("component").alias("_label"))
+    joined = frame.join(known, frame[column] == F.col("_cid"), "left")
+    return joined.withColumn(name, F.coalesce("_label", column)).drop("_cid", "_label")
+
+
 def _star_pairs(crowded: DataFrame) -> DataFrame:
     """Every member of a long list with the member that has most values of long lists."""
     heads = crowded.groupBy("v").agg(F.max(F.struct("n_long", "cid"))["cid"].alias("head"))
@@ -318,21 +347,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Inverted lists of the values that several classes retain.
     spread = shown.select("cid", "n_shingles", F.explode(F.slice("sketch", 1, INDEXED)).alias("v"))
     lengths = spread.groupBy("v").agg(F.count("*").alias("length")).where("length > 1")
-    postings = stage(spread.join(lengths, "v"), "postings")
+    need = F.least(F.lit(NEED), F.ceil(F.col("n_shingles") * 0.5)).cast("int")
+    # Linked classes have as many indexed values in common, so each has as many in lists.
+    held = spread.join(lengths, "v")
+    alive = held.groupBy("cid", "n_shingles").agg(F.count("*").alias("values")).where(F.col("values") >= need)
+    alive = stage(alive.select("cid"), "alive")
+    postings = stage(held.join(alive, "cid", "left_semi"), "postings")
+    sets = stage(_sets(docs, classes.join(alive, "cid")).dropDuplicates(["cid"]), "sets")
+    with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
+        tried = stage(_estimated(_head_pairs(postings, BEST), shown).select("a", "b"), "tried-heads")
+        links = stage(_linked(tried, sets), "links-heads")
+    labels = components(links)
+
     long = (
         postings.where(F.col("length") > LIST)
         .groupBy("cid")
         .agg(F.count("*").alias("n_long"), F.sort_array(F.collect_list(F.struct("length", "v"))).alias("held"))
     )
-    need = F.least(F.lit(NEED), F.ceil(F.col("n_shingles") * 0.5)).cast("int")
     short = postings.where(F.col("length") <= LIST).join(long.select("cid", "n_long"), "cid", "left")
     short = short.select("v", "cid", "n_shingles", F.coalesce("n_long", F.lit(0)).alias("n_long"))
-    names = {"a": "cid", "na": "n_shingles", "la": "n_long"}
+    short = stage(_labelled(short, labels, "cid", "component"), "short")
+    # Lists within one component are done.
+    several = short.groupBy("v").agg((F.min("component") < F.max("component")).alias("open")).where("open")
+    short = short.join(several.select("v"), "v", "left_semi")
+    names = {"a": "cid", "na": "n_shingles", "la": "n_long", "ca": "component"}
     one = short.select("v", *(F.col(c).alias(n) for n, c in names.items()))
     two = short.select("v", *(F.col(c).alias(n.replace("a", "b")) for n, c in names.items()))
     met = (
         one.join(two, "v")
-        .where("a < b AND 4 * least(na, nb) >= 3 * greatest(na, nb)")
+        .where("a < b AND ca <> cb AND 4 * least(na, nb) >= 3 * greatest(na, nb)")
         .groupBy("a", "b")
         .agg(F.count("*").alias("shared"), F.first(F.least("la", "lb")).alias("more"), F.first(F.least("na", "nb")).alias("n_shingles"))
         .where(F.col("shared") + F.col("more") >= need)
@@ -348,30 +391,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("cid", "n_shingles", "n_long", "sketch", "keys", F.explode("keys").alias("v"))
     )
     crowded = stage(crowded, "crowded")
-    stars = stage(_estimated(_star_pairs(crowded), shown), "stars")
+    apart = _labelled(_labelled(_star_pairs(crowded), labels, "a", "ca"), labels, "b", "cb").where("ca <> cb")
+    stars = stage(_estimated(apart.select("a", "b"), shown), "stars")
 
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(crowded.select("cid"))
-    sets = stage(_sets(docs, classes.join(wanted.distinct(), "cid")).dropDuplicates(["cid"]), "sets")
-
-    # First round: the best partners of each and the heads of long lists.
+    # Next round: the best partners of each and the heads of long lists.
     ends = pairs.select("a", "b", "estimate", F.explode(F.array("a", "b")).alias("end"))
     by_estimate = Window.partitionBy("end").orderBy(F.desc("estimate"), "a", "b")
     best = ends.withColumn("place", F.row_number().over(by_estimate)).where(F.col("place") <= BEST)
-    tried = stage(best.select("a", "b").union(stars.select("a", "b")).distinct(), "tried")
+    second = best.select("a", "b").union(stars.select("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
+    second = stage(second, "tried")
     with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
-        links = stage(_linked(tried, sets), "links-first")
-    labels = components(links)
-
-    def labelled(frame: DataFrame, column: str, name: str) -> DataFrame:
-        known = labels.select(F.col("cid").alias("_cid"), F.col("component").alias("_label"))
-        joined = frame.join(known, frame[column] == F.col("_cid"), "left")
-        return joined.withColumn(name, F.coalesce("_label", column)).drop("_cid", "_label")
+        found = stage(_linked(second, sets), "links-second")
+    tried = stage(tried.union(second), "tried")
+    if not found.isEmpty():
+        links = stage(links.union(found), "links")
+        labels = components(links)
 
     # Further rounds: whatever is not connected yet, until nothing is left to compare.
     partners = PARTNERS
     while True:
-        rest = labelled(labelled(pairs, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-        parts = labelled(crowded, "cid", "component")
+        rest = _labelled(_labelled(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
+        parts = _labelled(crowded, labels, "cid", "component")
         counted = parts.groupBy("v", "component").agg(F.count("*").alias("n"))
         mains = counted.groupBy("v").agg(
             F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")
@@ -387,16 +427,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = stage(more.join(tried, ["a", "b"], "left_anti"), "more")
         with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
             new = stage(_linked(more, sets), "links-more")
-        tried = tried.union(more)
+        tried = stage(tried.union(more), "tried")
         if not new.isEmpty():
-            links = links.union(new)
+            links = stage(links.union(new), "links")
             labels = components(links)
         elif found.where("withheld").isEmpty():
             break
         else:
             partners *= 8
 
-    named = labelled(classes, "cid", "component").select("class_key", "doc_id", "component")
+    named = _labelled(classes, labels, "cid", "component").select("class_key", "doc_id", "component")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     groups = named.join(least, "component").select(F.col("class_key").alias("key"), "component_id")
     return (
@@ -413,8 +453,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """All rows of ``docs`` but those whose doc_id is in ``gone``, counted before it travels."""
-    gone = stage(gone.distinct(), "gone")
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """All columns of one row of each group of near copies; rows without words all stay.
+
+    The row that stays is that with the smallest doc_id, nulls last; of equal ones the first
+    as the rows are numbered here. Rows are told apart by that number, so others that share a
+    doc_id with a copy stay, repeated rows leave one, and an empty table stays empty.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row = "_" + row
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    named = rows.select(F.col(row).alias("_row"), F.col("doc_id").alias("_id")).join(
+        groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "_row"
+    )
+    order = F.struct(F.col("_id").isNull(), "_id", "_row")
+    stays = named.groupBy("_group").agg(F.min(order)["_row"].alias("_stays"))
+    gone = stage(named.join(stays, "_group").where("_row <> _stays").select(F.col("_row").alias(row)), "gone")
     few = gone.count() <= BROADCAST_CLASSES
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    return rows.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*docs.columns)

@@ -361,6 +361,22 @@ def test_records_find_their_capture_by_any_chain(spark):
     assert got["lost"].response is None
 
 
+def test_one_row_of_each_group_stays(spark, odd, empty):
+    copy = "a text of some eight words that is there more than once"
+    rows = [(3, copy), (7, copy), (7, "another text with the number of a copy above"), (9, copy), (9, copy), (None, copy)]
+    rows += [(11, None), (11, None), (12, ""), (None, "a text of its own without any number at all here")]
+    docs = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id long, text string, _row string").repartition(3)
+    stays = collections.Counter((r.doc_id, r.text) for r in bottom_k.one_of_each(docs).collect())
+    assert stays == collections.Counter([rows[0], rows[2], rows[6], rows[7], rows[8], rows[9]])
+    nameless = docs.where("doc_id IS NULL").union(docs.where("doc_id IS NULL"))
+    assert bottom_k.one_of_each(nameless).count() == 2
+    left = bottom_k.one_of_each(odd)
+    assert left.columns == odd.columns and bottom_k.one_of_each(empty).count() == 0
+    texts = [r.text for r in odd.collect()]
+    words = [t for t in texts if t and t.split()]
+    assert left.count() == len(set(words)) + len(texts) - len(words)
+
+
 # Toxicity
 
 
