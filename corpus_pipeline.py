@@ -20,36 +20,32 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model does not reject."""
+    """Documents that the severity model does not reject; null and empty texts stay."""
     model = toxicity.train_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score_severity(docs.select(*COLUMNS), model)
     return scored.where(~F.col("toxic")).select(*COLUMNS)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by its doc_id.
-
-    Documents without a doc_id have no group to stand for and stay.
-    """
-    gone = bottom_k.near_duplicates(docs).where(~F.col("kept") & F.col("doc_id").isNotNull())
-    return bottom_k.without(docs.select(*COLUMNS), gone.select("doc_id"))
+    """One row of each group of near copies; null and empty texts are no copies and stay."""
+    return bottom_k.one_of_each(docs.select(*COLUMNS))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets masked and their length counted anew."""
+    """All documents, with their secrets masked and their length counted anew; a null text stays one."""
     network = secret_scan.train_on_documents(docs)
     masked = secret_scan.without_secrets(docs.select(*COLUMNS), network)
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often, and as far, as the mix takes their words."""
+    """The documents as often, and as far, as the mix takes their words; null texts have none."""
     mixed = mixing.mixed_texts(docs.select(*COLUMNS))
     return mixed.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in packed sequences, with their ids."""
+    """Pieces of all documents in packed sequences, with their ids; a null text is its end id."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
