@@ -5,7 +5,12 @@ parts of equal size with as few edges between parts as moves of single vertices
 reach, and a small network learns, from a vector alone, how its neighbours spread over
 the parts. Every row is then indexed by its most probable part. A query goes to the
 parts that are most probable for it; how many is found on the sample, by the share of
-true neighbours that they hold. What it meets there is ranked by exact distances.
+true neighbours that they hold. What it meets there is ranked by exact distances. A query
+that meets fewer rows than it wants goes on to all other parts.
+
+There are parts at every size: as many as rows over ``rows_per_part``, at least
+``LEAST_PARTS`` and at most ``MOST_PARTS``, with at least 64 distinct sampled vectors each. A table
+of fewer than 128 distinct vectors is one part.
 
 Parts are searched in blocks of bounded size on both sides, so a part or a vector with
 a third of all rows only has more blocks.
@@ -27,7 +32,7 @@ from corpusloom.session import stage
 
 SAMPLE = 12_000
 ROWS_PER_PART = 2_000
-MOST_PARTS = 64
+LEAST_PARTS, MOST_PARTS = 8, 128
 NEIGHBOURS = 10
 RECALL = 0.96
 HIDDEN = 128
@@ -233,12 +238,14 @@ def nearest_rows(
     own = own.where(F.size("embedding") == dim)
     drawn = about(own.select("vec_id", "embedding"), "vec_id", sample, seed).toArrow() if rows else None
     vectors = matrix(drawn.sort_by("vec_id")["embedding"]) if rows else np.zeros((0, 1))
-    router = learn(vectors, min(most_parts, rows // rows_per_part), recall=recall, seed=seed)
+    parts = max(LEAST_PARTS, min(most_parts, rows // rows_per_part))
+    router = learn(vectors, parts, recall=recall, seed=seed)
 
     @F.arrow_udf("array<int>")
     def likely(column: pa.Array) -> pa.Array:
+        """All parts, the most probable first."""
         scores = router.scores(matrix(column))
-        order = np.argsort(-scores, axis=1, kind="stable")[:, : router.probes].astype("int32")
+        order = np.argsort(-scores, axis=1, kind="stable").astype("int32")
         return pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), order.shape[1]).cast(
             pa.list_(pa.int32())
         )
@@ -249,10 +256,28 @@ def nearest_rows(
         queries.where(F.col("vec_id").isNotNull() & usable("embedding") & (F.size("embedding") == dim))
         .groupBy("vec_id")
         .agg(F.min("embedding").alias("embedding"))
-        .select(F.col("vec_id").alias("query_id"), "embedding")
-        .withColumn("part", F.explode(likely("embedding")))
+        .select(F.col("vec_id").alias("query_id"), "embedding", likely("embedding").alias("order"))
     )
     asked = stage(asked, "routed-queries")
+    first = F.explode(F.slice("order", 1, router.probes)).alias("part")
+    found = _searched(index, asked.select("query_id", "embedding", first), k)
+    if router.probes < router.parts:
+        found = stage(found, "found")
+        met = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
+        short = stage(asked.join(met, "query_id", "left_anti"), "short")
+        if not short.isEmpty():
+            others = F.explode(F.slice("order", router.probes + 1, router.parts)).alias("part")
+            found = found.unionByName(_searched(index, short.select("query_id", "embedding", others), k))
+    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(by_score))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _searched(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The k nearest rows of every query in every block of the parts it asks."""
 
     def blocks(frame: DataFrame, size: int, name: str) -> DataFrame:
         return frame.groupBy("part").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
@@ -287,15 +312,9 @@ def nearest_rows(
         )
 
     group = ["part", "row_block", "query_block"]
-    found = (
+    return (
         dealt(asked, "query_id", "query_block", "row_block")
         .groupBy(*group)
         .cogroup(dealt(index, "vec_id", "row_block", "query_block").groupBy(*group))
         .applyInArrow(rank, "query_id long, vec_id long, score double")
     )
-    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(by_score))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )

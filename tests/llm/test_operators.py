@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -377,6 +378,116 @@ def test_one_row_of_each_group_stays(spark, odd, empty):
     assert left.count() == len(set(words)) + len(texts) - len(words)
 
 
+# Secrets beyond the rules, and neighbours with the values in use
+
+
+def secret_texts(number, kinds, seed):
+    """Texts of long ordinary words, some with a token of one of the kinds behind a cue of its own."""
+    rng = random.Random(seed)
+    syllables = ["lo", "ra", "tin", "ver", "mon", "de", "si", "pla", "ne", "cor"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    letters = secret_scan.TOKEN_LETTERS
+    make = {
+        "assign": lambda: "password = " + "".join(rng.choices(letters, k=24)),
+        "access": lambda: "AKIA" + "".join(rng.choices(letters[:26] + "0123456789", k=18)),
+        "hex": lambda: "".join(rng.choices("0123456789abcdef", k=32)),
+        "free": lambda: "".join(rng.choices(letters, k=30)),
+    }
+    texts = []
+    for i in range(number):
+        words = [word(rng.randrange(1, 9)) for _ in range(12)]
+        own = None
+        if i % 2:
+            own = make[rng.choice(kinds)]()
+            words.insert(rng.randrange(12), own)
+        texts.append((i, " ".join(words), own))
+    return texts
+
+
+def test_a_kind_that_no_rule_knows_is_found(spark):
+    def frame(rows):
+        return spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+
+    network = secret_scan.train_on_documents(frame(secret_texts(1500, ["assign", "access", "hex"], 1)))
+    unseen = secret_texts(600, ["free"], 2)
+    rows = {r.doc_id: r for r in secret_scan.find_secrets(frame(unseen), network).collect()}
+    spans = {i: [(s.start, s.end) for s in rows[i].secrets if s.kind == 3] for i, _, _ in unseen}
+    caught = [any(text[a:b].startswith(own) for a, b in spans[i]) for i, text, own in unseen if own]
+    clean = [not spans[i] for i, _, own in unseen if not own]
+    assert np.mean(caught) >= 0.9 and np.mean(clean) >= 0.95 and network.alarms <= 0.05
+
+
+def test_the_whole_of_a_long_run_is_read(spark):
+    network = secret_scan.train_on_documents(
+        spark.createDataFrame([r[:2] for r in secret_texts(1500, ["assign", "access", "hex"], 1)], "doc_id long, text string")
+    )
+    token = "qX7bP0zRk3LwYt9GhVn2Mc8DfJs5Ae"
+    path = "/".join(["lorativermonde", "plasinecor"] * 4)
+    texts = [f"see {path}/{token}/{path} there", f"see {path}/{path} there", "id 0123456789abcdef_" + token]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.secrets] for r in secret_scan.find_secrets(docs, network).collect()}
+    assert any(token in span for _, span in found[0]) and not found[1]
+    # A rule finds a stretch of the run, the network the rest.
+    assert found[2][0] == (2, "0123456789abcdef") and any(token in span for kind, span in found[2] if kind == 3)
+
+
+def test_the_limit_keeps_its_recall_where_classes_overlap():
+    rng = random.Random(4)
+    body = lambda shape: "".join(rng.choice(shape) for _ in range(20))
+    windows, labels = [], []
+    for i in range(4000):
+        secret = i % 33 == 0
+        looks_secret = secret or rng.random() < 0.08
+        windows.append(secret_scan.window(body("0123456789" if looks_secret else "abcdefg"), 0, 20))
+        labels.append(secret)
+    network = secret_scan.train_network(windows, np.array(labels), recall=0.98)
+    held = [i for i in range(4000) if i % 5 == 4]
+    p = network.probability([windows[i] for i in held])
+    over = p >= network.limit
+    truth = np.array([labels[i] for i in held])
+    assert over[truth].mean() >= 0.95 and network.alarms == pytest.approx(over[~truth].mean())
+
+
+def embedded(spark, folder):
+    return spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet").select("vec_id", "embedding")
+
+
+def many_vectors(spark, rows, seed=3):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(200, 32))
+    points = (centers[rng.integers(0, 200, rows)] + 0.6 * rng.normal(size=(rows, 32))).astype("float32")
+    return spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<float>")
+
+
+@pytest.mark.parametrize("name", ["sf0.001", "sf0.01", "sf0.1", 20_000])
+def test_recall_with_the_values_in_use(spark, name):
+    table = many_vectors(spark, name) if isinstance(name, int) else embedded(spark, name)
+    table = table.cache()
+    rows = table.orderBy("vec_id").collect()
+    ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    got = collections.defaultdict(set)
+    for r in learned_index.nearest_rows(table, table.where("vec_id % 100 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    hits, asked = 0, np.flatnonzero(ids % 100 == 0)
+    for q in asked:
+        away = np.linalg.norm(vectors - vectors[q], axis=1)
+        away[q] = np.inf
+        hits += len(got[ids[q]] & set(ids[np.lexsort((ids, away))[:10]]))
+    assert all(len(got[ids[q]]) == 10 for q in asked) and hits / (10 * len(asked)) >= 0.9
+    # The method runs: there are parts and a network that routes to them.
+    router = learned_index.learn(vectors[:12_000], learned_index.LEAST_PARTS)
+    assert router.parts > 1 and router.weights
+
+
+def test_a_query_goes_on_until_it_has_enough(spark):
+    # One far vector alone in its part, which the router sends its query to.
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.normal(size=(2000, 4)), 50 + 0.01 * rng.normal(size=(6, 4))])
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = learned_index.nearest_rows(table, table.where("vec_id >= 1990")).collect()
+    assert collections.Counter(r.query_id for r in found) == {q: 10 for q in range(1990, 2006)}
+
+
 # Toxicity
 
 
