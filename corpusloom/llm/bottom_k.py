@@ -15,9 +15,12 @@ compared on their full sets. Components of the confirmed links are the groups.
 * An inverted list of up to ``LIST`` classes gives all such pairs. In a longer one no
   pairs are spread out: a class with too few values of long lists cannot owe a link to
   them alone. The others are compared with one head of each list, and those that are still
-  apart with all others in blocks of bounded size inside tasks; their best partners come out,
-  and more of them in every further round, until nothing that could be a link is left
-  between components.
+  apart with all others in blocks of bounded size inside tasks. There a wider sketch decides,
+  of the ``WIDE`` smallest values: up to the smaller of two sketches' ends both are whole, and
+  what they share up to there estimates the resemblance within ``SLACK`` standard errors, again
+  but for a chance of about 1e-7; sets that fit their sketch are compared exactly. The best
+  partners come out, and more of them in every further round, until nothing that could be
+  a link is left between components.
 * Copies share a class and meet only in counts.
 """
 
@@ -38,6 +41,7 @@ KEPT, INDEXED = 48, 32
 NEED = 11
 ESTIMATE = 20 / 48
 LIST = 24
+WIDE, SLACK = 160, 5.3
 BLOCK = 2_000
 BEST = 2
 PARTNERS = 8
@@ -120,7 +124,10 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Full sets of classes ``(cid, doc_id, class_key)`` as ``(cid, items)``."""
+    """Full sets of classes ``(cid, doc_id, class_key)`` as ``(cid, items, wide)``.
+
+    ``wide`` holds the upper halves of the smallest values, which keep their order.
+    """
     few = wanted.count() <= BROADCAST_CLASSES
     side = wanted.withColumnRenamed("doc_id", "known")
     side = F.broadcast(side) if few else side
@@ -131,7 +138,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
-                ids, items = [], []
+                ids, items, wide = [], [], []
                 columns = (some[c].to_pylist() for c in ("cid", "class_key", "text"))
                 for cid, key, text in zip(*columns, strict=True):
                     found = own.shingles(text)
@@ -139,11 +146,13 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == key:
                         ids.append(cid)
                         items.append(found.tobytes())
+                        wide.append((found[:WIDE] >> np.uint64(31)).astype("uint32").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(items, pa.binary())], names=["cid", "items"]
+                    [pa.array(ids, pa.int64()), pa.array(items, pa.binary()), pa.array(wide, pa.binary())],
+                    names=["cid", "items", "wide"],
                 )
 
-    found = rows.select("cid", "class_key", "text").mapInArrow(run, "cid long, items binary")
+    found = rows.select("cid", "class_key", "text").mapInArrow(run, "cid long, items binary, wide binary")
     return found
 
 
@@ -159,8 +168,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             out.append(100 * both >= 75 * (len(x) + len(y) - both))
         return pa.array(out, pa.bool_())
 
-    one = sets.withColumnsRenamed({"cid": "a", "items": "items_a"})
-    two = sets.withColumnsRenamed({"cid": "b", "items": "items_b"})
+    one = sets.select(F.col("cid").alias("a"), F.col("items").alias("items_a"))
+    two = sets.select(F.col("cid").alias("b"), F.col("items").alias("items_b"))
     joined = pairs.select("a", "b").distinct().join(two, "b").join(one, "a")
     return joined.where(close("items_a", "items_b")).select("a", "b")
 
@@ -212,9 +221,10 @@ def components(links: DataFrame) -> DataFrame:
 def _head_pairs(postings: DataFrame, best: int) -> DataFrame:
     """Every class with the ``best`` heads that it meets in most of its lists.
 
-    The head of a list is its smallest cid, so copies mostly agree on it.
+    The head of a list is its member whose own lists are longest together: of edited copies
+    that is the one which has most in common with the others, mostly their source.
     """
-    heads = postings.groupBy("v").agg(F.min(F.struct("cid", "n_shingles")).alias("head"))
+    heads = postings.groupBy("v").agg(F.max(F.struct("weight", "cid", "n_shingles")).alias("head"))
     met = (
         postings.join(heads, "v")
         .where("cid <> head.cid AND 4 * least(n_shingles, head.n_shingles) >= 3 * greatest(n_shingles, head.n_shingles)")
@@ -244,7 +254,7 @@ def _star_pairs(crowded: DataFrame) -> DataFrame:
 def _block_pairs(members: DataFrame, best: int) -> DataFrame:
     """Pairs between components within long lists, compared block by block.
 
-    ``members`` is ``(v, cid, n_shingles, keys, sketch, component, main)``; two members
+    ``members`` is ``(v, cid, n_shingles, keys, sketch, wide, component, main)``; two members
     of a list's main component need no comparison. A pair is looked at in the list of
     its smallest common key. Of each member outside the main component the ``best``
     partners of a block come out, as ``(a, b, withheld)``: whether it has more.
@@ -278,6 +288,25 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
         v = int(np.searchsorted(key_values, table["v"][0].as_py()))
         flag, key_flag = np.zeros(len(values) + 1, bool), np.zeros(len(key_values) + 1, bool)
         need = np.minimum(NEED, np.ceil(sizes * 0.5))
+        shown = [np.frombuffer(b.as_buffer(), "uint32") for b in table["wide"].combine_chunks()]
+        width = np.array([len(s) for s in shown])
+        wide = np.zeros((len(shown), WIDE), "uint32")
+        for row, own in zip(wide, shown, strict=True):
+            row[: len(own)] = own
+        # Up to its last value a sketch is whole; one that holds the set is whole everywhere.
+        cut = sizes > WIDE
+        whole = np.where(cut, wide[np.arange(len(wide)), width - 1].astype("int64"), 1 << 32)
+
+        def close(x: int, near: np.ndarray) -> np.ndarray:
+            own, theirs = wide[x, : width[x]], wide[near]
+            held = np.arange(WIDE)[None, :] < width[near][:, None]
+            place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            both = ((own[place] == theirs) & held).sum(axis=1)
+            limit = np.minimum(whole[x], whole[near])
+            union = np.searchsorted(own, limit, side="right") + ((theirs <= limit[:, None]) & held).sum(axis=1) - both
+            guess = both / union >= 0.75 - SLACK * np.sqrt(0.1875 / union)
+            return np.where(cut[x] | cut[near], guess, 100 * both >= 75 * union)
+
         apart = table["i"][0].as_py() != table["j"][0].as_py()
         left, right, withheld = [], [], []
         for x in np.flatnonzero(~main):
@@ -297,6 +326,8 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
             flag[grid[x]] = False
             enough = shared >= np.maximum(need[near], need[x])
             near, shared = near[enough], shared[enough]
+            alike = close(x, near)
+            near, shared = near[alike], shared[alike]
             partners = ids[near[np.lexsort((ids[near], -shared))[:best]]]
             left.append(np.minimum(partners, ids[x]))
             right.append(np.maximum(partners, ids[x]))
@@ -350,10 +381,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     need = F.least(F.lit(NEED), F.ceil(F.col("n_shingles") * 0.5)).cast("int")
     # Linked classes have as many indexed values in common, so each has as many in lists.
     held = spread.join(lengths, "v")
-    alive = held.groupBy("cid", "n_shingles").agg(F.count("*").alias("values")).where(F.col("values") >= need)
-    alive = stage(alive.select("cid"), "alive")
-    postings = stage(held.join(alive, "cid", "left_semi"), "postings")
-    sets = stage(_sets(docs, classes.join(alive, "cid")).dropDuplicates(["cid"]), "sets")
+    alive = held.groupBy("cid", "n_shingles").agg(F.count("*").alias("values"), F.sum("length").alias("weight"))
+    alive = stage(alive.where(F.col("values") >= need).select("cid", "weight"), "alive")
+    postings = stage(held.join(alive, "cid"), "postings")
+    sets = stage(_sets(docs, classes.join(alive.select("cid"), "cid")).dropDuplicates(["cid"]), "sets")
     with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
         tried = stage(_estimated(_head_pairs(postings, BEST), shown).select("a", "b"), "tried-heads")
         links = stage(_linked(tried, sets), "links-heads")
@@ -391,6 +422,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("cid", "n_shingles", "n_long", "sketch", "keys", F.explode("keys").alias("v"))
     )
     crowded = stage(crowded, "crowded")
+    wide = sets.select("cid", "wide")
     apart = _labelled(_labelled(_star_pairs(crowded), labels, "a", "ca"), labels, "b", "cb").where("ca <> cb")
     stars = stage(_estimated(apart.select("a", "b"), shown), "stars")
 
@@ -419,11 +451,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         still = stage(
             parts.join(mains.where("parts > 1"), "v")
             .withColumn("main", F.col("component") == F.col("largest"))
-            .drop("largest", "parts", "n_long"),
+            .drop("largest", "parts", "n_long")
+            .join(wide, "cid"),
             "crowded-open",
         )
         found = stage(_block_pairs(still, partners), "crowded-pairs")
-        more = rest.union(_estimated(found.select("a", "b").distinct(), shown).select("a", "b")).distinct()
+        more = rest.union(found.select("a", "b")).distinct()
         more = stage(more.join(tried, ["a", "b"], "left_anti"), "more")
         with arrow_batch(docs.sparkSession, SETS_AT_ONCE):
             new = stage(_linked(more, sets), "links-more")
