@@ -57,7 +57,7 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.page_captures(_table(spark, folder, "pages"), payloads=False)
 
     def noted(name: str):
-        own = F.filter("metadata.fields", lambda f: f["key"] == name)
+        own = F.filter(F.try_element_at("metadata", F.lit(1))["fields"], lambda f: f["key"] == name)
         return F.try_element_at(own, F.lit(1))["value"].cast("long")
 
     return found.select(

@@ -4,7 +4,7 @@ Every page is written as three records: its request, the response or a revisit o
 equal payload, and metadata. Records of one transaction name each other in their
 concurrent-to fields, and only by those are they joined after reading: a record
 belongs to the response or revisit that it names, that names it, or that a record
-next to it belongs to. One nested row comes out per capture.
+any chain of records beside it leads to. One nested row comes out per capture.
 
 A writing task makes one file of gzip members under a name of its own and reports it;
 only reported files are read.
@@ -23,7 +23,7 @@ from urllib.parse import quote, urlsplit
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import new_path, stage
@@ -33,6 +33,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPACE = uuid.UUID("5b0f7c52-6d0c-4f7e-9a55-0e6a3f1c2d11")
 BROADCAST_PAYLOADS = 400_000
 LEVEL = 3
+LISTED = 1000
+MAIN = ("response", "revisit", "resource")
 REPORT_DDL = "name string, records long, bytes long"
 RECORD_DDL = (
     "record_id string, kind string, concurrent_to array<string>, refers_to string, uri string, "
@@ -245,45 +247,87 @@ def read_records(folder: str, report: DataFrame, payloads: bool = True) -> DataF
     return report.select("name").repartition(tasks, "name").mapInArrow(read, RECORD_DDL)
 
 
-def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture from stored records.
+def record_captures(records: DataFrame) -> DataFrame:
+    """The capture of every record that leads to one: ``(record_id, capture_id)``.
 
-    ``capture_id`` is the id of the response or revisit. Of several requests or metadata
-    records of a capture the one with the smallest id is shown; ``n_records`` counts all.
-    Records that lead to no response make a row of their own without one.
+    Records beside a response or revisit belong to the one fewest links away, the smallest id
+    among equals; links are followed, through records beside, until no record is reached
+    for the first time. Only records of the last step look for their next ones. Records with
+    a null id have no links, repeated records share one row.
     """
-    ends = records.select("record_id", F.explode("concurrent_to").alias("peer"))
+    spark = records.sparkSession
+    ends = records.select("record_id", F.explode("concurrent_to").alias("peer")).dropna()
     links = ends.union(ends.select("peer", "record_id")).distinct()
-    is_main = F.col("kind").isin("response", "revisit", "resource")
-    mains = records.where(is_main).select(F.col("record_id").alias("capture_id"))
+    is_main = F.col("kind").isin(*MAIN)
+    mains = records.where(is_main).select(F.col("record_id").alias("peer"), F.col("record_id").alias("capture_id"))
     beside = records.where(~is_main).select("record_id")
-
-    def nearest(found: DataFrame) -> DataFrame:
-        return found.groupBy("record_id").agg(F.min("capture_id").alias("capture_id"))
-
-    direct = nearest(
-        links.join(mains, links["peer"] == mains["capture_id"])
-        .select("record_id", "capture_id")
-        .join(beside, "record_id", "left_semi")
-    )
-    over = direct.select(F.col("record_id").alias("peer"), "capture_id")
-    further = nearest(
-        links.join(beside, "record_id", "left_semi")
-        .join(direct, "record_id", "left_anti")
-        .join(over, "peer")
-        .select("record_id", "capture_id")
-    )
-    placed = records.join(direct.union(further), "record_id", "left").withColumn(
+    path = new_path(spark, "warc-steps")
+    kept = "record_id string, capture_id string"
+
+    def step(left: DataFrame, reached: DataFrame, number: int) -> DataFrame:
+        found = left.join(reached, "peer").groupBy("record_id").agg(F.min("capture_id").alias("capture_id"))
+        found.write.parquet(f"{path}/step={number}")
+        return spark.read.schema(kept).parquet(f"{path}/step={number}")
+
+    left = stage(links.join(beside, "record_id", "left_semi"), "warc-links")
+    found, number = step(left, mains.distinct(), 0), 0
+    while True:
+        left = stage(left.join(found, "record_id", "left_anti"), "warc-links")
+        # Links among reached records lead to nothing new.
+        if left.isEmpty() or found.isEmpty():
+            return spark.read.schema(kept).parquet(path).select("record_id", "capture_id")
+        number += 1
+        found = step(left, found.withColumnRenamed("record_id", "peer"), number)
+
+
+def placed_records(records: DataFrame) -> DataFrame:
+    """All records with their ``capture_id``, the own id of those that lead to no response."""
+    return records.join(record_captures(records), "record_id", "left").withColumn(
         "capture_id", F.coalesce("capture_id", "record_id")
     )
+
+
+def captures(records: DataFrame, listed: int = LISTED) -> DataFrame:
+    """One nested row per capture from stored records.
+
+    ``capture_id`` is the id of the response or revisit. ``requests`` and ``metadata`` hold
+    the records beside it by ascending id; a nested row is one value, so it holds the
+    first ``listed`` of each kind, while ``n_requests``, ``n_metadata`` and ``n_records``
+    count all and ``placed_records`` gives all as rows. Records that lead to no response
+    make a row of their own without one. Of records that repeat an id of a response one is
+    shown. An empty table gives none.
+    """
+    placed = placed_records(records)
     main = F.struct("record_id", "kind", "refers_to", "uri", "date", "payload_digest", "payload_bytes", "payload")
+    is_request, is_notes = F.col("kind") == "request", F.col("kind") == "metadata"
+    heads = placed.groupBy("capture_id").agg(
+        F.min(F.when(F.col("kind").isin(*MAIN), main)).alias("response"),
+        F.count_if(is_request).alias("n_requests"),
+        F.count_if(is_notes).alias("n_metadata"),
+        F.count("*").alias("n_records"),
+    )
+    by_id = Window.partitionBy("capture_id", "kind").orderBy("record_id")
     asked = F.struct("record_id", "uri", "date")
     notes = F.struct("record_id", F.map_entries("fields").alias("fields"))
-    return placed.groupBy("capture_id").agg(
-        F.min(F.when(is_main, main)).alias("response"),
-        F.min(F.when(F.col("kind") == "request", asked)).alias("request"),
-        F.min(F.when(F.col("kind") == "metadata", notes)).alias("metadata"),
-        F.count("*").alias("n_records"),
+    lists = (
+        placed.where(is_request | is_notes)
+        .select("capture_id", "kind", "record_id", "uri", "date", "fields")
+        .withColumn("place", F.row_number().over(by_id))
+        .where(F.col("place") <= listed)
+        .groupBy("capture_id")
+        .agg(
+            F.sort_array(F.collect_list(F.when(is_request, asked))).alias("requests"),
+            F.sort_array(F.collect_list(F.when(is_notes, notes))).alias("metadata"),
+        )
+    )
+    nothing = lists.schema
+    return heads.join(lists, heads["capture_id"].eqNullSafe(lists["capture_id"]), "left").select(
+        heads["capture_id"],
+        "response",
+        *[F.coalesce(c, F.array().cast(nothing[c].dataType)).alias(c) for c in ("requests", "metadata")],
+        "n_requests",
+        "n_metadata",
+        "n_records",
     )
 
 

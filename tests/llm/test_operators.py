@@ -99,6 +99,27 @@ def test_sources_meet_their_targets(request, name):
         assert abs(taken - expected[key]) <= sum(1 for s in want if source[s] == key[1])
 
 
+def test_mixing_again_gives_the_same(documents, odd, empty):
+    for docs in (documents, odd):
+        first, again = (mixing.mixed_documents(d, block_words=16) for d in (docs, docs.repartition(5)))
+        assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
+    assert mixing.mixed_documents(empty).count() == 0 and mixing.mixed_texts(empty).count() == 0
+
+
+def test_one_source_is_the_work_of_all_tasks(documents):
+    """Slots of a single source are written out in as many tasks as there are cores."""
+    from pyspark.sql import functions as F
+
+    docs = documents.withColumn("source", F.lit("a"))
+    _, _, pieces = mixing.mix(docs, block_words=16, shard_slots=8)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    assert f"hashpartitioning(sid#" in plan and f", {cores}), REPARTITION_BY_NUM" in plan
+    assert pieces.agg({"words": "sum"}).first()[0] == sum(
+        r.taken for r in mixing.mixed_documents(docs, block_words=16, shard_slots=8).collect()
+    )
+
+
 def test_shards_of_the_mix_are_full(documents):
     _, sources, pieces = mixing.mix(documents, block_words=64, shard_slots=50)
     total = sources.selectExpr("sum(slots) AS n").first().n
@@ -329,10 +350,10 @@ def test_odd_pages_come_back(spark):
     rows += [(4, "http://a.b", ""), (None, "http://n", "<p>é</p>"), (5, "u", "x" * 300_000), (6, "u", "z"), (6, "u", "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = warc.page_captures(pages.selectExpr("*", "1 AS payload", "2 AS digest")).collect()
-    assert len(got) == len(rows) and all(r.n_records == 3 and r.request is not None for r in got)
+    assert len(got) == len(rows) and all((r.n_records, r.n_requests, len(r.requests)) == (3, 1, 1) for r in got)
     seen = collections.Counter()
     for r in got:
-        notes = {f.key: f.value for f in r.metadata.fields}
+        notes = {f.key: f.value for f in r.metadata[0].fields}
         seen[(notes.get("page-id"), r.response.kind, notes.get("refers-to-page"), r.response.payload_bytes)] += 1
         if r.response.kind == "response":
             assert warc.digest_of(bytes(r.response.payload)) == r.response.payload_digest
@@ -344,22 +365,52 @@ def test_odd_pages_come_back(spark):
     assert warc.page_captures(pages.where("false")).count() == 0
 
 
-def test_records_find_their_capture_by_any_chain(spark):
-    rows = [
-        ("r1", "response", ["q1"]), ("q1", "request", []), ("m1", "metadata", ["q1"]),
-        ("r2", "response", []), ("q2", "request", ["r2"]), ("lost", "request", ["nowhere"]),
-    ]
+def archive_records(spark, rows):
     more = ", NULL AS refers_to, 'u' AS uri, 'd' AS date, 'p' AS payload_digest, 1L AS payload_bytes, "
     records = spark.createDataFrame(rows, "record_id string, kind string, concurrent_to array<string>")
-    records = records.selectExpr(
+    return records.selectExpr(
         *("record_id, kind, concurrent_to" + more + "cast(NULL AS binary) AS payload").split(", "),
         "map('k', 'v') AS fields",
     )
+
+
+def shown(capture):
+    return [r.record_id for r in capture.requests], [r.record_id for r in capture.metadata]
+
+
+def test_records_find_their_capture_by_any_chain(spark):
+    chain = [("c1", "metadata", ["q1"])] + [(f"c{i}", "metadata", [f"c{i - 1}"]) for i in range(2, 6)]
+    rows = [
+        ("r1", "response", ["q1"]), ("q1", "request", []), ("m1", "metadata", ["q1"]), *chain,
+        ("r2", "response", []), ("q2", "request", ["r2"]), ("q3", "request", ["r2"]), ("q2", "request", ["r2"]),
+        ("r3", "revisit", None), ("lost", "request", ["nowhere"]), ("near", "metadata", ["lost"]),
+        ("both", "metadata", ["r3", "r2"]), ("beside", "metadata", ["both"]), ("alone", "metadata", None),
+    ]
+    records = archive_records(spark, rows)
     got = {r.capture_id: r for r in warc.captures(records).collect()}
-    assert set(got) == {"r1", "r2", "lost"}
-    assert got["r1"].request.record_id == "q1" and got["r1"].metadata.record_id == "m1"
-    assert got["r2"].request.record_id == "q2" and got["r2"].metadata is None
-    assert got["lost"].response is None
+    assert set(got) == {"r1", "r2", "r3", "lost", "near", "alone"}
+    assert shown(got["r1"]) == (["q1"], ["c1", "c2", "c3", "c4", "c5", "m1"]) and got["r1"].n_records == 8
+    assert shown(got["r2"]) == (["q2", "q2", "q3"], ["beside", "both"])
+    assert (got["r2"].n_requests, got["r2"].n_metadata, got["r2"].n_records) == (3, 2, 6)
+    assert shown(got["r3"]) == ([], []) and got["r3"].response.kind == "revisit"
+    assert got["lost"].response is None and shown(got["lost"]) == (["lost"], [])
+
+
+def test_the_capture_with_fewest_links_between_counts(spark):
+    """A chain between two responses is cut in its middle; the smaller id has the middle itself."""
+    chain = [(f"c{i}", "metadata", [f"c{i - 1}" if i else "r2"]) for i in range(7)]
+    records = archive_records(spark, [("r1", "response", ["c6"]), ("r2", "response", []), *chain])
+    placed = {r.record_id: r.capture_id for r in warc.placed_records(records).collect()}
+    assert placed == {"r1": "r1", "r2": "r2"} | {f"c{i}": "r2" if i < 3 else "r1" for i in range(7)}
+
+
+def test_long_lists_of_a_capture_come_back_as_rows(spark):
+    rows = [("r", "response", [])] + [(f"q{i:03d}", "request", ["r"]) for i in range(50)]
+    records = archive_records(spark, rows)
+    (one,) = warc.captures(records, listed=20).collect()
+    assert shown(one) == ([f"q{i:03d}" for i in range(20)], []) and one.n_requests == 50
+    assert warc.placed_records(records).where("capture_id = 'r'").count() == 51
+    assert warc.captures(records.where("false")).count() == 0
 
 
 def test_one_row_of_each_group_stays(spark, odd, empty):
