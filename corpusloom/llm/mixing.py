@@ -25,6 +25,7 @@ WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
 ROUNDS = 24
+TASK_SLOTS = 1_000_000
 SEED = 20_240_601
 
 
@@ -127,18 +128,19 @@ def draw_counts(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int =
         .agg(F.count("*").alias("n"))
     )
     drawn = stage(drawn, "mix-draws")
-    own_order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(seed), "sid", "shard"), "shard")
+    own_order = in_order(drawn, "sid", F.xxhash64(F.lit(seed), "sid", "shard"), "shard", label="mix-own")
     kept = (
-        drawn.join(sources.select("sid", "slots"), "sid")
-        .withColumn("before", F.sum("n").over(own_order) - F.col("n"))
-        .selectExpr("shard", "sid", "n", "least(n, greatest(0, slots - before)) AS kept")
+        running_totals(own_order, "sid", "n")
+        .join(sources.select("sid", "slots"), "sid")
+        .selectExpr("shard", "sid", "n", "least(n, greatest(0, slots - _start)) AS kept")
     )
     kept = stage(kept, "mix-kept")
 
     def units(counts: DataFrame, name: str) -> DataFrame:
         """One numbered row per unit of a count; there are few of them."""
-        numbered = counts.withColumn("upto", F.sum("units").over(Window.orderBy(name)))
-        return numbered.selectExpr(name, "explode(sequence(upto - units, upto - 1)) AS unit")
+        ordered = in_order(counts.withColumn("all", F.lit(0)), name, label="mix-units")
+        numbered = running_totals(ordered, "all", "units")
+        return numbered.selectExpr(name, "explode(sequence(_start, _start + units - 1)) AS unit")
 
     free = kept.groupBy("shard").agg(F.sum(F.expr("n - kept")).alias("units")).where("units > 0")
     short = (
@@ -216,12 +218,16 @@ def mix(
     )
     placed = stage(placed, "mix-rows")
 
+    # Numbers of slots run over ranges of shards, and a source's shards are dealt out before
+    # its slots are written out, so that those of a hot source are the work of all tasks.
     counts = draw_counts(sources.select("sid", "slots"), shard_slots, seed)
-    by_shard = Window.partitionBy("sid").orderBy("shard")
-    numbered = counts.withColumn("before", F.sum("n").over(by_shard) - F.col("n"))
+    numbered = running_totals(in_order(counts, "sid", "shard", label="mix-counts"), "sid", "n")
+    wanted = sources.agg(F.sum("slots").alias("slots")).first()["slots"] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-wanted // TASK_SLOTS))
     slots = (
         numbered.join(sources.drop("source", "source_size", "target"), "sid")
-        .selectExpr("*", "explode(sequence(before, before + n - 1)) AS slot")
+        .repartition(tasks, "sid", "shard")
+        .selectExpr("*", "explode(sequence(_start, _start + n - 1)) AS slot")
         .selectExpr("*", "slot div blocks AS pass", "slot % blocks AS step")
         .withColumn(
             "block",
@@ -250,8 +256,9 @@ def mix(
             f"greatest(start, block * {b}) - start AS first_word",
         )
     )
+    # Slots are many rows out of few counts, whose size would let them be broadcast.
     pieces = (
-        cut.join(slots, ["sid", "block"])
+        cut.join(slots.hint("merge"), ["sid", "block"])
         .where("take > lo")
         .selectExpr(
             "row", "shard", "pass", "block", "first_word", "least(hi, take) - lo AS words"
