@@ -58,6 +58,73 @@ def test_shards_have_equal_counts(request, name):
     assert len(counts) == 4 and max(counts) - min(counts) <= 1
 
 
+def grid_indexes(spark, dims, bits):
+    """Index of every cell of a grid, by the column expression."""
+    from pyspark.sql import functions as F
+
+    names = [f"c{d}" for d in range(dims)]
+    cells = list(itertools.product(range(1 << bits), repeat=dims))
+    frame = spark.createDataFrame(cells, ", ".join(f"{n} int" for n in names))
+    rows = frame.select(*names, hilbert.curve_index([F.col(n) for n in names], bits).alias("at")).collect()
+    return {tuple(r[n] for n in names): r["at"] for r in rows}
+
+
+@pytest.mark.parametrize("dims", [2, 3])
+def test_curve_column_is_a_hilbert_curve(spark, dims):
+    at = {i: cell for cell, i in grid_indexes(spark, dims, 3).items()}
+    assert sorted(at) == list(range(8**dims))
+    for i in range(len(at) - 1):
+        assert sum(abs(a - b) for a, b in zip(at[i], at[i + 1], strict=True)) == 1
+    # Aligned runs are whole sub-cubes, at every level.
+    for level in (1, 2):
+        run = (1 << level) ** dims
+        for first in range(0, len(at), run):
+            assert len({tuple(x >> level for x in at[first + i]) for i in range(run)}) == 1
+
+
+@pytest.mark.parametrize("name", ["documents", "odd"])
+def test_shards_equal_a_sorted_list(request, spark, name):
+    bits, shards = 3, 7
+    index = grid_indexes(spark, 3, bits)
+    docs = request.getfixturevalue(name).collect()
+
+    def codes_of(values):
+        known = sorted(v.encode() for v in values if v is not None)
+        low, high = known[0], known[-1]
+        shared = 0
+        while shared < min(len(low), len(high)) and low[shared] == high[shared]:
+            shared += 1
+
+        def number(v):
+            return int.from_bytes((v[shared:] + bytes(5))[:5], "big")
+
+        width = number(high) - number(low) + 1
+        return [0 if v is None else (number(v.encode()) - number(low)) * 2**bits // width for v in values]
+
+    def size_code(size):
+        width = size.bit_length()
+        return min(255, (width - 5) * 8 + (size // 2 ** (width - 4)) % 8) >> (8 - bits)
+
+    rows = []
+    for d, source, lang in zip(docs, codes_of([d.source for d in docs]), codes_of([d.lang for d in docs]), strict=True):
+        data = (d.text or "").encode()
+        size = len(data) + 16
+        cell = (source, lang, size_code(size))
+        rows.append((index[cell], zlib.crc32(data), d.doc_id is not None, d.doc_id or 0, size))
+    want, slots = collections.Counter(), collections.Counter()
+    for rank, (at, crc, known, doc_id, size) in enumerate(sorted(rows)):
+        shard = rank * shards // len(rows)
+        want[(doc_id if known else None, size, crc, at, shard, slots[shard])] += 1
+        slots[shard] += 1
+    got = hilbert.hilbert_shards(request.getfixturevalue(name), shards=shards, bits=bits)
+    names = ("doc_id", "size", "text_crc32", "curve_index", "shard", "slot")
+    assert collections.Counter(tuple(r[n] for n in names) for r in got.collect()) == want
+
+
+def test_no_shards_of_nothing(empty):
+    assert hilbert.hilbert_shards(empty).count() == 0
+
+
 # Mixing
 
 

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from corpusloom.llm import arrow_ids, packing
+from corpusloom.llm import arrow_ids, packing, queries
 from corpusloom.llm.tokens import TokenEncoder
 
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -75,6 +75,26 @@ def test_odd_rows_are_packed_whole(odd):
     assert got == want
 
 
+def test_packed_pieces_are_the_ids_of_the_tokenizer(spark, sf, documents):
+    """Every piece by its own ids, every sequence without gaps and padded at its end only."""
+    rows = queries.op1_packing(spark, sf).collect()
+    ids = {r.doc_id: ids_of(NAMES[0], r.text, 1) for r in documents.collect()}
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(piece) == r.length > 0 and r.ids_crc32 == zlib.crc32(piece.tobytes())
+        assert r.doc_tokens == len(ids[r.doc_id])
+        by_doc[r.doc_id].append((r.start, r.length))
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    assert by_doc.keys() == ids.keys()
+    for group, size in [(by_doc[d], len(ids[d])) for d in ids] + [(s, None) for s in by_sequence.values()]:
+        at = 0
+        for start, length in sorted(group):
+            assert start == at
+            at += length
+        assert at == size if size is not None else at <= 2048
+
+
 def test_nothing_is_packed_from_nothing(empty):
     path = public_tokenizers.path(NAMES[0])
     assert packing.pack_documents(empty, path).count() == 0
