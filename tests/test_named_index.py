@@ -199,3 +199,16 @@ def test_empty_index(spark, corpus, root, queries):
     filled = index.sync(corpus.where("id < 700").withColumn("change", F.lit("insert")))
     assert filled.table().count() == 700
     assert rows(filled.search(queries, 3)) == rows(knn(queries, corpus.where("id < 700"), 3))
+
+
+@pytest.mark.parametrize("where", [None, "grp = 'g1'"])
+def test_all_cells_make_no_list_of_them(index, corpus, queries, monkeypatch, where):
+    """A list of every query's cells, and as many results each, grew with queries times rows."""
+
+    def listed(*_):
+        raise AssertionError("cells were listed")
+
+    monkeypatch.setattr(type(index), "_probes", listed)
+    wanted = None if where is None else F.expr(where)
+    got = index.search(queries, 3, nprobe=1 << 40, where=wanted)
+    assert rows(got) == rows(knn(queries, corpus, 3, where=wanted))

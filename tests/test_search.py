@@ -206,3 +206,37 @@ def test_embed_batches_and_checks(spark):
 def test_unit_vector(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     assert [r[0] for r in df.select(unit(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
+
+
+def test_many_results_a_query_are_bounded_like_vectors(data, corpus, queries, monkeypatch):
+    """The results that a task holds count as its vectors do."""
+    from corpusloom.operators import search
+
+    def scanned(*_):
+        raise AssertionError("all results in one task")
+
+    monkeypatch.setattr(search, "_scan", scanned)
+    cell = F.lit(0).cast("long").alias("cell")
+    asked = queries.select("query_id", F.col("embedding").alias("vector"), cell)
+    stored = corpus.select("id", F.col("embedding").alias("vector"), cell)
+    found = candidates(asked, stored, 300, broadcast_bytes=600 * DIM * 8, block_bytes=300 * 16 * 200)
+    assert rows(best_k(found, 300)) == brute(data, 300)
+
+
+def test_screened_scores_equal_ranked_ones():
+    from corpusloom.operators.search import SCALE, Best
+
+    rng = np.random.default_rng(3)
+    away = rng.normal(size=(4000, 16))
+    away[::3] = away[5]
+    away[::7] = 0
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-30)
+    asked, ids = away[:200], rng.permutation(10**6)[:4000]
+    best = Best(200, 3)
+    for at in range(0, 4000, 1000):
+        best.add(np.arange(200), asked, ids[at : at + 1000], away[at : at + 1000])
+    points = np.rint(asked @ away.T * SCALE).astype("int64")
+    for i in range(200):
+        order = np.lexsort((ids, -points[i]))[:3]
+        assert best.ids[i].tolist() == ids[order].tolist()
+        assert best.points[i].tolist() == points[i][order].tolist()
