@@ -91,6 +91,19 @@ def test_row_counts_do_not_depend_on_the_size_of_a_step(spark, requests, many):
     assert fb.eval_set(requests, merged).count() == 1
 
 
+@pytest.mark.parametrize("many", [2, 2500])
+def test_feedback_carries_all_assessments_of_a_step(spark, requests, many):
+    rows = [passage("r1", "a", "s0", f"d{i:05}") for i in range(many)] * 2 + [text("r1", "a", 1, "positive")]
+    log = spark.createDataFrame(rows + [passage("r1", "a", "s0", None)], LOG)
+    collected = fb.collect_retrieval(log)
+    want = [((None, "positive"), 1), *(((f"d{i:05}", "positive"), 2) for i in range(many))]
+    steps = fb.retrieval_steps(collected).collect()
+    merged = fb.merge_assessments(fb.latest_text_assessment(log, "event_id"), collected)
+    joined = fb.requests_with_feedback(requests, merged).where("log_id = 'r1'").collect()
+    for found in (steps, merged.collect(), joined):
+        assert [[(tuple(a.assessment), a.n) for a in r.retrieval_assessments] for r in found] == [want]
+
+
 def test_merge_loses_the_id_of_retrieval_only_feedback(log, merged):
     rows = merged.collect()
     # r1 twice (two steps), six other texts, c on r1 and a on r7 without an id.
