@@ -9,9 +9,11 @@ pass counts the chunks themselves. Between the passes nothing is shuffled.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from corpusloom.operators.chunking import _carried, _chunk_starts, explode_chunk
 Counter = Callable[[Sequence[str]], list[list[int]]]
 MakeCounter = Callable[[], Counter]
 
+# Characters whose tokens are held at once, besides those of one row.
+SLICE_CHARACTERS = 500_000
 PIECE = pa.struct([("text", pa.string()), ("n", pa.int32())])
 CHUNK = pa.struct([("content", pa.string()), ("n_tokens", pa.int64())])
 
@@ -97,6 +101,27 @@ class Measure:
         return pieces
 
 
+def _slices(rows: pa.Array, characters: int = SLICE_CHARACTERS) -> Iterator[pa.Array]:
+    """A batch of texts, or of lists of texts, in slices of about so many characters.
+
+    Counters give a number per token; for a whole batch these are many times its text.
+    """
+    if pa.types.is_string(rows.type) or pa.types.is_large_string(rows.type):
+        sizes = pc.fill_null(pc.utf8_length(rows), 0).to_numpy(zero_copy_only=False)
+    else:
+        owners = pc.list_parent_indices(rows).to_numpy(zero_copy_only=False)
+        each = pc.fill_null(pc.utf8_length(pc.list_flatten(rows)), 0).to_numpy(zero_copy_only=False)
+        sizes = np.bincount(owners, weights=each, minlength=len(rows))
+    part = np.cumsum(sizes) // characters
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(rows)]
+    for start, end in zip(cuts, cuts[1:]):
+        yield rows[start:end]
+
+
+def _by_slices(rows: pa.Array, one: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    return pa.concat_arrays([one(part) for part in _slices(rows)])
+
+
 def _per_list(found: list[list], lengths: list[int], kind: pa.DataType, make) -> pa.Array:
     """Results of flattened lists, as lists again."""
     at, out = 0, []
@@ -119,6 +144,9 @@ def counted_pieces(sentences: Column, make_counter: MakeCounter, budget: int) ->
     def pieces(lists: pa.Array) -> pa.Array:
         if not measure:
             measure.append(Measure(make_counter()))
+        return _by_slices(lists, some)
+
+    def some(lists: pa.Array) -> pa.Array:
         texts, lengths = _flat(lists)
         sizes, ends = measure[0].sizes(texts), measure[0].ends(texts)
         found = [
@@ -141,6 +169,9 @@ def counted_contents(contents: Column, make_counter: MakeCounter, max_tokens: in
     def counted(lists: pa.Array) -> pa.Array:
         if not measure:
             measure.append(Measure(make_counter()))
+        return _by_slices(lists, some)
+
+    def some(lists: pa.Array) -> pa.Array:
         texts, lengths = _flat(lists)
         found = []
         for text, ends in zip(texts, measure[0].ends(texts), strict=True):
@@ -215,6 +246,9 @@ def tokens_in(text: Column, make_counter: MakeCounter) -> Column:
     def number(texts: pa.Array) -> pa.Array:
         if not measure:
             measure.append(Measure(make_counter()))
+        return _by_slices(texts, some)
+
+    def some(texts: pa.Array) -> pa.Array:
         return pa.array([len(e) for e in measure[0].ends([t or "" for t in texts.to_pylist()])], pa.int64())
 
     return number(text)

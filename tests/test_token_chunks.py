@@ -85,3 +85,23 @@ def test_wrong_counters_and_bounds(docs):
         tc.chunk_by_tokens(docs, lambda: lambda texts: []).collect()
     with pytest.raises(ValueError, match="no room"):
         tc.chunk_by_tokens(docs, tc.width_counter(4), max_tokens=10, overlap=10)
+
+
+def test_tokens_of_a_batch_are_counted_in_slices(spark):
+    """A counter gives a number per token; it was asked for those of a whole batch at once."""
+
+    def make():
+        count = tc.width_counter(4)()
+
+        def bounded(texts):
+            if sum(map(len, texts)) > 2_000_000:
+                raise ValueError("too much text at once")
+            return count(texts)
+
+        return bounded
+
+    text = "Some words make a sentence of some length. " * 250
+    docs = spark.range(300).select("id", F.concat(F.lit(text), F.col("id").cast("string")).alias("text")).coalesce(1)
+    sliced, whole = (tc.chunk_by_tokens(docs, m) for m in (make, tc.width_counter(4)))
+    assert sliced.exceptAll(whole).isEmpty() and sliced.count() == whole.count() > 300
+    assert docs.select(tc.tokens_in(F.col("text"), make).alias("n")).where("n > 2000").count() == 300
