@@ -240,3 +240,19 @@ def test_screened_scores_equal_ranked_ones():
         order = np.lexsort((ids, -points[i]))[:3]
         assert best.ids[i].tolist() == ids[order].tolist()
         assert best.points[i].tolist() == points[i][order].tolist()
+
+
+def test_embedding_holds_the_texts_of_one_call(spark):
+    """All texts of an Arrow batch were Python strings, held beside those of the call."""
+    import sys
+
+    def embedder(texts):
+        # The list of the call, and the argument here.
+        if max(sys.getrefcount(t) for t in texts if t) > 3:
+            raise ValueError("texts are held by more than the call")
+        return np.array([[len(t or ""), 0, 0, 1] for t in texts])
+
+    words = F.concat(F.lit("words "), F.lpad(F.col("id").cast("string"), 4, "0"))
+    texts = spark.range(3000).select("id", F.when(F.col("id") != 7, words).alias("t")).coalesce(1)
+    rows = embed(texts, "t", embedder, 4, batch=100).groupBy("embedding").count().collect()
+    assert sorted((r.embedding[0], r["count"]) for r in rows) == [(0.0, 1), (10.0, 2999)]
