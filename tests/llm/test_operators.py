@@ -690,3 +690,35 @@ def test_toxicity_of_odd_rows(odd, empty, spark):
 def test_crc_is_that_of_the_text(odd):
     got = collections.Counter(r.text_crc32 for r in hilbert.hilbert_shards(odd).collect())
     assert got == collections.Counter(zlib.crc32((r.text or "").encode()) for r in odd.collect())
+
+
+def test_the_limit_comes_from_the_findings_of_all_documents(spark):
+    """No window of any document is left out of training or of the limit, and many shards learn as one does."""
+    rows = [r[:2] for r in secret_texts(4000, ["assign", "access", "hex"], 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    windows = {}
+    for _, text in rows:
+        runs = secret_scan.candidates(text)
+        spans = secret_scan.base_findings(text, runs)
+        for run in runs:
+            for shown, a, b in secret_scan.windows_of(text, *run):
+                windows[shown] = windows.get(shown, False) or any(s < b and e > a for s, _, e in spans)
+    assert len(windows) > 12_000
+    got = secret_scan.labelled_candidates(docs).collect()
+    assert len(got) == len(windows) and {r.window: r.secret for r in got} == windows
+    frame = spark.createDataFrame(list(windows.items()), "window string, secret boolean")
+    shards = secret_scan._training_shards(frame, 7, 1).collect()
+    assert sum(r.fit_plain + r.held_plain for r in shards) == sum(not s for s in windows.values())
+    assert sum(r.fit_secret - r.hidden + r.held_secret for r in shards) == sum(windows.values())
+    shown = list(windows)
+    secret = np.array([windows[w] for w in shown])
+    for shard in (3_000, 100_000):
+        network = secret_scan.train_on_documents(docs, shard=shard)
+        p = network.probability(shown)
+        assert (p[secret] >= network.limit).mean() >= 0.98 and (p[~secret] >= network.limit).mean() <= 0.05
+
+
+def test_ranks_equal_a_sorted_list(spark):
+    values = [0.5, -3.0, 0.5, 1e-9, 0.0, 7.25, 0.5, 1e6, -3.0, 1.0000001]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [secret_scan._kth(frame, k) for k in range(len(values))] == sorted(values)
