@@ -251,24 +251,40 @@ def _star_pairs(crowded: DataFrame) -> DataFrame:
     return met.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """The members of every list with their comparisons ``(v, i, j)``, and as what they take part.
+
+    Block ``j`` is a part of the list that part ``i`` of those that ask is compared with. A member
+    stands in its own block for every part, and one that asks once in every other block; a list
+    of up to ``BLOCK`` members is one comparison with a row for each.
+    """
+    parts = [F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int") for n in (F.count_if("ask"), F.count("*"))]
+    sizes = members.groupBy("v").agg(parts[0].alias("asking"), parts[1].alias("blocks"))
+    known = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    asker = F.pmod(F.xxhash64(F.lit(1), "cid"), F.col("asking")).cast("int")
+
+    def place(i, j, listed, ask):
+        return F.struct(i.alias("i"), j.alias("j"), listed.alias("listed"), ask.alias("ask"))
+
+    own = F.transform(
+        F.sequence(F.lit(0), F.col("asking") - 1),
+        lambda i: place(i, F.col("known"), F.lit(True), F.col("ask") & (i == F.col("asker"))),
+    )
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.col("ask") & (j != F.col("known")))
+    others = F.transform(others, lambda j: place(F.col("asker"), j, F.lit(False), F.lit(True)))
+    rows = members.join(sizes, "v").withColumn("known", known).withColumn("asker", asker)
+    rows = rows.withColumn("place", F.explode(F.concat(own, others)))
+    return rows.drop("ask", "asking", "blocks", "known", "asker").select("*", "place.*").drop("place")
+
+
 def _block_pairs(members: DataFrame, best: int) -> DataFrame:
     """Pairs between components within long lists, compared block by block.
 
-    ``members`` is ``(v, cid, n_shingles, keys, sketch, wide, component, main)``; two members
-    of a list's main component need no comparison. A pair is looked at in the list of
-    its smallest common key. Of each member outside the main component the ``best``
-    partners of a block come out, as ``(a, b, withheld)``: whether it has more.
+    ``members`` is ``(v, cid, n_shingles, keys, sketch, wide, component, ask)``; members that do
+    not ask are only compared with those that do. A pair is looked at in the list of
+    its smallest common key. Of each member that asks the ``best``
+    partners of a block come out, as ``(v, cid, a, b, withheld)``: whether it has more.
     """
-    sizes = members.groupBy("v").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    dealt = (
-        members.join(sizes, "v")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .drop("blocks", "other")
-    )
 
     def grid_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         """Sorted value codes of every row, padded with the number of values."""
@@ -281,8 +297,8 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         ids, sizes = table["cid"].to_numpy(), table["n_shingles"].to_numpy()
-        block, part = table["own"].to_numpy(), table["component"].to_numpy()
-        main = table["main"].to_numpy()
+        part = table["component"].to_numpy()
+        listed, asking = (np.array(table[c].to_pylist(), bool) for c in ("listed", "ask"))
         grid, values = grid_of(table["sketch"])
         keys, key_values = grid_of(table["keys"])
         v = int(np.searchsorted(key_values, table["v"][0].as_py()))
@@ -307,12 +323,9 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
             guess = both / union >= 0.75 - SLACK * np.sqrt(0.1875 / union)
             return np.where(cut[x] | cut[near], guess, 100 * both >= 75 * union)
 
-        apart = table["i"][0].as_py() != table["j"][0].as_py()
-        left, right, withheld = [], [], []
-        for x in np.flatnonzero(~main):
-            ok = part != part[x]
-            if apart:
-                ok &= block != block[x]
+        left, right, asked, withheld = [], [], [], []
+        for x in np.flatnonzero(asking):
+            ok = listed & (part != part[x])
             ok &= 4 * np.minimum(sizes, sizes[x]) >= 3 * np.maximum(sizes, sizes[x])
             near = np.flatnonzero(ok)
             key_flag[keys[x]] = True
@@ -331,10 +344,13 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
             partners = ids[near[np.lexsort((ids[near], -shared))[:best]]]
             left.append(np.minimum(partners, ids[x]))
             right.append(np.maximum(partners, ids[x]))
+            asked.append(np.full(len(partners), ids[x]))
             withheld.append(np.full(len(partners), len(near) > best))
         none = np.zeros(0, "int64")
         return pa.table(
             {
+                "v": np.full(sum(map(len, left)), table["v"][0].as_py()),
+                "cid": np.concatenate([none, *asked]),
                 "a": np.concatenate([none, *left]),
                 "b": np.concatenate([none, *right]),
                 "withheld": np.concatenate([none.astype(bool), *withheld]),
@@ -344,9 +360,10 @@ def _block_pairs(members: DataFrame, best: int) -> DataFrame:
     # Many small tasks, which adaptive execution does not put together by their bytes.
     tasks = 8 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        dealt.repartition(tasks, "v", "i", "j")
+        _dealt(members)
+        .repartition(tasks, "v", "i", "j")
         .groupBy("v", "i", "j")
-        .applyInArrow(compare, "a long, b long, withheld boolean")
+        .applyInArrow(compare, "v long, cid long, a long, b long, withheld boolean")
     )
 
 
@@ -439,8 +456,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = stage(links.union(found), "links")
         labels = components(links)
 
-    # Further rounds: whatever is not connected yet, until nothing is left to compare.
-    partners = PARTNERS
+    # Further rounds: whatever is not connected yet, until nothing is left to compare. First all
+    # members outside the main component of a list ask, then those that something was withheld
+    # from: all pairs of the others have been tried or lie in one component.
+    partners, asks = PARTNERS, None
     while True:
         rest = _labelled(_labelled(pairs, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb").select("a", "b")
         parts = _labelled(crowded, labels, "cid", "component")
@@ -448,13 +467,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         mains = counted.groupBy("v").agg(
             F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")
         )
-        still = stage(
-            parts.join(mains.where("parts > 1"), "v")
-            .withColumn("main", F.col("component") == F.col("largest"))
-            .drop("largest", "parts", "n_long")
-            .join(wide, "cid"),
-            "crowded-open",
-        )
+        open_ = parts.join(mains.where("parts > 1"), "v")
+        if asks is None:
+            open_ = open_.withColumn("ask", F.col("component") != F.col("largest"))
+        else:
+            open_ = open_.join(asks.select("v").distinct(), "v", "left_semi")
+            open_ = open_.join(asks.withColumn("ask", F.lit(True)), ["v", "cid"], "left")
+            open_ = open_.withColumn("ask", F.coalesce("ask", F.lit(False)))
+        still = stage(open_.drop("largest", "parts", "n_long").join(wide, "cid"), "crowded-open")
         found = stage(_block_pairs(still, partners), "crowded-pairs")
         more = rest.union(found.select("a", "b")).distinct()
         more = stage(more.join(tried, ["a", "b"], "left_anti"), "more")
@@ -464,9 +484,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not new.isEmpty():
             links = stage(links.union(new), "links")
             labels = components(links)
-        elif found.where("withheld").isEmpty():
+        asks = stage(found.where("withheld").select("v", "cid").distinct(), "crowded-asks")
+        if asks.isEmpty():
+            # Short lists have no pair left that was not tried.
             break
-        else:
+        if new.isEmpty():
             partners *= 8
 
     named = _labelled(classes, labels, "cid", "component").select("class_key", "doc_id", "component")

@@ -364,6 +364,43 @@ def test_crowded_lists_lose_no_link(spark, monkeypatch):
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == groups(rows)
 
 
+def test_members_are_dealt_as_often_as_they_ask(spark, monkeypatch):
+    """A list of four hundred with ten that ask makes a row for each, and one a block for those ten."""
+    monkeypatch.setattr(bottom_k, "BLOCK", 40)
+    members = spark.range(400).selectExpr("7L AS v", "id AS cid", "id % 40 = 0 AS ask")
+    rows = bottom_k._dealt(members).collect()
+    assert len(rows) == 400 + 10 * 9
+    asked = {(r.cid, r.j) for r in rows if r.ask}
+    assert len(asked) == sum(r.ask for r in rows) == 10 * 10
+    assert len({r.cid for r in rows if r.listed}) == sum(r.listed for r in rows) == 400
+    # Where more ask than fit a block, every part of them meets every block once.
+    rows = bottom_k._dealt(members.withColumn("ask", members.cid % 4 == 0)).collect()
+    met = collections.Counter()
+    for key in {(r.i, r.j) for r in rows}:
+        own = [r for r in rows if (r.i, r.j) == key]
+        met.update((x.cid, y.cid) for x in own if x.ask for y in own if y.listed)
+    assert set(met.values()) == {1} and len(met) == 100 * 400
+
+
+def test_only_members_with_more_partners_ask_again(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(40)]
+    # Alike enough for the sketches, not for the sets: everyone has partners that lead nowhere.
+    rows = [(i, " ".join([*base, *(f"y{i}_{j}" for j in range(int(rng.integers(6, 40))))])) for i in range(120)]
+    monkeypatch.setattr(bottom_k, "PARTNERS", 8)
+    monkeypatch.setattr(bottom_k, "WIDE", 20)
+    asked, plain = [], bottom_k._block_pairs
+
+    def seen(members, best):
+        asked.append(members.where("ask").count())
+        return plain(members, best)
+
+    monkeypatch.setattr(bottom_k, "_block_pairs", seen)
+    got = bottom_k.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == groups(rows)
+    assert len(asked) > 1 and all(b <= a for a, b in itertools.pairwise(asked)) and asked[-1] < asked[0] / 2, asked
+
+
 def test_no_groups_in_nothing(empty):
     assert bottom_k.near_duplicates(empty).count() == 0
 
