@@ -8,7 +8,7 @@ from corpusloom.operators.keys import append_new, assign_ids, digits_for
 from corpusloom.plans.corpus import CorpusJob
 from corpusloom.session import arrow_batch, publish_views, require_rows, stage, table_exists, work_dir
 from corpusloom.sources import web
-from corpusloom.sources.files import binary_files, table_stream
+from corpusloom.sources.files import binary_files, land_texts, table_stream
 from corpusloom.streaming.drain import drain
 
 
@@ -34,6 +34,21 @@ def test_ingest_takes_matching_files_once(spark, folder):
     assert run() == 3
 
 
+@pytest.mark.parametrize("texts", [["a", None, "", "a", "é\nb"], []])
+def test_landed_files_equal_those_of_the_text_writer(spark, folder, texts):
+    """Without the side files and processes that Spark's writer needs for each on a local disk."""
+    rows = spark.createDataFrame([(t,) for t in texts], "html string").coalesce(1)
+    rows.write.option("maxRecordsPerFile", 1).text(f"{folder}/plain")
+    land_texts(rows, f"file://{folder}/own")
+    contents = []
+    for name in ("plain", "own"):
+        drain(binary_files(spark, f"{folder}/{name}", "*.txt"), f"{folder}/progress-{name}", path=f"{folder}/raw-{name}")
+        contents.append(sorted(bytes(r.content) for r in spark.read.parquet(f"{folder}/raw-{name}").collect()))
+    assert contents[0] == contents[1] and len(contents[1]) == len(texts)
+    # One empty file is read as no row.
+    assert len(os.listdir(f"{folder}/own")) == max(1, len(texts))
+
+
 def test_drain_into_a_table(spark, folder):
     source = f"{folder}/source"
     spark.range(5).write.parquet(source)
