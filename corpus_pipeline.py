@@ -15,12 +15,27 @@ from corpusloom.llm import bottom_k, mixing, packing, secret_scan, toxicity
 from corpusloom.session import new_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Stages share their Python workers, which keep what any of them has taken: texts in an Arrow
+# batch, and words whose ids the packing keeps.
+BATCH_ROWS, WORDS_KEPT = 1_024, 250_000
 # No SQL says what trained models find; the stages are tested against plain Python.
 ORACLE_SQL = None
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """At most ``BATCH_ROWS`` texts in an Arrow batch from now on in this session.
+
+    A stage is computed when its rows are read, so the setting has to outlast the call.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model does not reject; null and empty texts stay."""
+    bound_batches(spark)
     model = toxicity.train_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score_severity(docs.select(*COLUMNS), model)
     return scored.where(~F.col("toxic")).select(*COLUMNS)
@@ -33,6 +48,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked and their length counted anew; a null text stays one."""
+    bound_batches(spark)
     network = secret_scan.train_on_documents(docs)
     masked = secret_scan.without_secrets(docs.select(*COLUMNS), network)
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
@@ -46,7 +62,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in packed sequences, with their ids; a null text is its end id."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+    bound_batches(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, words_kept=WORDS_KEPT)
 
 
 STAGES = [

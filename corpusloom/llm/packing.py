@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.tokens import encoder
+from corpusloom.llm.tokens import WORDS_KEPT, encoder
 
 TIERS = (256, 512, 1024, 2048)
 BLOCK_TOKENS = 2_000_000
@@ -156,6 +156,7 @@ def pack_documents(
     tiers: tuple[int, ...] = TIERS,
     block_tokens: int = BLOCK_TOKENS,
     group_tokens: int = GROUP_TOKENS,
+    words_kept: int = WORDS_KEPT,
 ) -> DataFrame:
     """Pieces of all documents ``(doc_id, text)`` with their place and their ids.
 
@@ -169,7 +170,7 @@ def pack_documents(
     window = tiers[-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer)
+        tokens = encoder(tokenizer, words_kept)
         base = TaskContext.get().partitionId() << 36
         number = groups = 0
         ids: list[np.ndarray] = []

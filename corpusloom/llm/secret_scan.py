@@ -34,6 +34,7 @@ SHARD = 50_000
 # A shard goes on for so many windows, within the least and the largest number of passes.
 SEEN, PASSES = 72_000, (2, 6)
 BUCKETS = 1_024
+TEXTS_AT_ONCE = 500
 RECALL = 0.98
 BEFORE, INSIDE, AFTER = 20, 40, 8
 WIDTH = BEFORE + INSIDE + AFTER
@@ -411,7 +412,8 @@ def train_on_documents(docs: DataFrame, recall: float = RECALL, seed: int = SEED
     shard, sums and counts. Without findings of both kinds in either part the network finds nothing.
     """
     spark = docs.sparkSession
-    windows = stage(labelled_candidates(docs), "secret-windows")
+    with arrow_batch(spark, TEXTS_AT_ONCE):
+        windows = stage(labelled_candidates(docs), "secret-windows")
     number = windows.count()
     if not number:
         return CharNetwork()
@@ -446,6 +448,42 @@ def train_on_documents(docs: DataFrame, recall: float = RECALL, seed: int = SEED
     return net
 
 
+def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts as Python strings, some at a time."""
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        yield texts.slice(at, TEXTS_AT_ONCE).to_pylist()
+
+
+def _findings(network: CharNetwork, texts: pa.Array) -> list[list[Span]]:
+    """Findings ``(start, kind, end)`` of every text in their order."""
+    spans: list[list[Span]] = []
+    asked: list[tuple[int, int, int]] = []
+    windows: list[str] = []
+    accepted: dict[tuple[int, int, int], None] = {}
+
+    def ask() -> None:
+        p = network.probability(windows)
+        accepted.update((a, None) for a, yes in zip(asked, p >= network.limit, strict=True) if yes)
+        asked.clear()
+        windows.clear()
+
+    for i, text in enumerate(t or "" for some in _slices(texts) for t in some):
+        runs = candidates(text)
+        base = base_findings(text, runs)
+        spans.append(base)
+        for start, end in uncovered(runs, base):
+            # A candidate is found by any of its windows.
+            for shown, _, _ in windows_of(text, start, end):
+                asked.append((i, start, end))
+                windows.append(shown)
+                if len(windows) >= 8192:
+                    ask()
+    ask()
+    for i, start, end in accepted:
+        spans[i].append((start, 3, end))
+    return [sorted(own) for own in spans]
+
+
 def find_secrets(docs: DataFrame, network: CharNetwork) -> DataFrame:
     """All rows of ``docs`` with ``secrets``, the findings in each whole text.
 
@@ -456,33 +494,8 @@ def find_secrets(docs: DataFrame, network: CharNetwork) -> DataFrame:
 
     @F.arrow_udf("array<struct<start: int, kind: int, end: int>>")
     def found(texts: pa.Array) -> pa.Array:
-        texts = [t or "" for t in texts.to_pylist()]
-        spans: list[list[Span]] = []
-        asked: list[tuple[int, int, int]] = []
-        windows: list[str] = []
-        accepted: dict[tuple[int, int, int], None] = {}
-
-        def ask() -> None:
-            p = network.probability(windows)
-            accepted.update((a, None) for a, yes in zip(asked, p >= network.limit, strict=True) if yes)
-            asked.clear()
-            windows.clear()
-
-        for i, text in enumerate(texts):
-            runs = candidates(text)
-            base = base_findings(text, runs)
-            spans.append(base)
-            for start, end in uncovered(runs, base):
-                # A candidate is found by any of its windows.
-                for shown, _, _ in windows_of(text, start, end):
-                    asked.append((i, start, end))
-                    windows.append(shown)
-                    if len(windows) >= 8192:
-                        ask()
-        ask()
-        for i, start, end in accepted:
-            spans[i].append((start, 3, end))
-        flat = [s for own in spans for s in sorted(own)]
+        spans = _findings(network, texts)
+        flat = [s for own in spans for s in own]
         ends = np.cumsum([0, *map(len, spans)]).astype("int32")
         columns = list(zip(*flat, strict=True)) or [(), (), ()]
         items = pa.StructArray.from_arrays(
@@ -502,19 +515,19 @@ def without_secrets(docs: DataFrame, network: CharNetwork) -> DataFrame:
     and an empty table stays empty.
     """
 
+    def hidden(text: str, spans: list[Span]) -> str:
+        parts, at = [], 0
+        for start, _, end in spans:
+            if start >= at:
+                parts += [text[at:start], "[SECRET]"]
+            at = max(at, end)
+        return "".join([*parts, text[at:]])
+
+    # Found and masked in one call: two calls in a row would keep two Python workers a core.
     @F.arrow_udf("string")
-    def masked(texts: pa.Array, findings: pa.Array) -> pa.Array:
-        out = []
-        for text, spans in zip(texts.to_pylist(), findings.to_pylist(), strict=True):
-            if spans:
-                parts, at = [], 0
-                for span in spans:
-                    if span["start"] >= at:
-                        parts += [text[at : span["start"]], "[SECRET]"]
-                    at = max(at, span["end"])
-                text = "".join([*parts, text[at:]])
-            out.append(text)
-        return pa.array(out, pa.string())
-
-    rows = find_secrets(docs, network)
-    return rows.withColumn("text", masked("text", "secrets")).drop("secrets")
+    def masked(texts: pa.Array) -> pa.Array:
+        spans = iter(_findings(network, texts))
+        out = [pa.array([hidden(t, s) if (s := next(spans)) else t for t in some], pa.string()) for some in _slices(texts)]
+        return pa.concat_arrays([pa.array([], pa.string()), *out])
+
+    return docs.drop("secrets").withColumn("text", masked("text"))

@@ -194,7 +194,7 @@ class TokenEncoder:
         return flat, counts
 
 
-def encoder(path: str) -> TokenEncoder:
+def encoder(path: str, words_kept: int = WORDS_KEPT) -> TokenEncoder:
     """The encoder of this worker process, which goes on from task to task.
 
     Task code travels with the job and is loaded anew for every task, so what a
@@ -202,9 +202,9 @@ def encoder(path: str) -> TokenEncoder:
     """
     home = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
     kept = home.__dict__.setdefault("encoders", {})
-    if path not in kept:
-        kept[path] = TokenEncoder(path)
-    return kept[path]
+    if (path, words_kept) not in kept:
+        kept[path, words_kept] = TokenEncoder(path, words_kept)
+    return kept[path, words_kept]
 
 
 def crc_of(ids: np.ndarray, crc: int = 0) -> int:
